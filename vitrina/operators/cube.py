@@ -96,7 +96,10 @@ def cube_grouping_sets(base: DataFrame) -> DataFrame:
 
 
 def cube_reconcile(base: DataFrame) -> DataFrame:
-    """Rows and total sales per level; the totals must agree."""
+    """Rows and total sales per level; the totals must agree.
+
+    Reads the detail once per level, so ``base`` should be a stored table.
+    """
     parts = []
     for number in (0, *LEVELS):
         out = cube_level(base, number)

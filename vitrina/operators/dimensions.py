@@ -15,7 +15,7 @@ from vitrina.functions.dates import season, weekday
 from vitrina.functions.measures import margin_pct
 from vitrina.functions.rules import DIMENSION_RULE, NO_ORDER_RECENCY, SegmentRule, rfm_segment
 from vitrina.operators.keys import dense_keys
-from vitrina.operators.rfm import customer_monetary, rfm_base
+from vitrina.operators.rfm import customer_activity
 
 
 def calendar_dim(facts: DataFrame, moment: str) -> DataFrame:
@@ -78,7 +78,9 @@ def customer_dim(
     rule: SegmentRule = DIMENSION_RULE,
 ) -> DataFrame:
     """Customer and city attributes with recency, frequency, amount and segment."""
-    rfm = customer_monetary(rfm_base(orders), orders, lines)
+    rfm = customer_activity(orders, lines).select(
+        "id_cliente", "ultima_compra", "frecuencia", "monetario", "recency", "monto_total"
+    )
     return (
         _with_city(customers, cities, "nombre_cliente")
         .join(rfm, "id_cliente", "left")

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from vitrina.session import cut_lineage
+from vitrina.session import stored
 
+MAX_LABELS = 10_000
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
 
@@ -18,9 +19,9 @@ def dense_keys(df: DataFrame, order: Sequence[Column | str], name: str) -> DataF
 
     The rows are range-sorted over all tasks and numbered inside each partition;
     the partition sizes (one row per partition) give the offsets.  The sorted
-    rows are checkpointed because both steps must see the same partitions.
+    rows are stored because both steps must see the same partitions.
     """
-    numbered = cut_lineage(df.orderBy(*order).withColumn("_pos", F.monotonically_increasing_id()))
+    numbered = stored(df.orderBy(*order).withColumn("_pos", F.monotonically_increasing_id()))
     numbered = numbered.withColumn("_part", F.shiftright("_pos", _ROW_BITS))
     sizes = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
@@ -36,9 +37,14 @@ def dense_keys(df: DataFrame, order: Sequence[Column | str], name: str) -> DataF
 def dense_rank_of_values(df: DataFrame, column: str, name: str, start: int = 0) -> DataFrame:
     """Distinct values of a label with their alphabetical rank.
 
-    Meant for vocabularies such as categories: duplicates are removed on the
-    map side, and only the distinct labels reach the ranking task.
+    A vocabulary of up to ``MAX_LABELS`` labels becomes a local table, so Spark
+    knows its size and joins with it stay on the map side; a larger one is
+    numbered by ``dense_keys``.
     """
     values = df.select(column).where(F.col(column).isNotNull()).distinct()
-    rank = F.row_number().over(W.orderBy(column)) + (start - 1)
-    return values.withColumn(name, rank.cast("long"))
+    found = [row[0] for row in values.limit(MAX_LABELS + 1).collect()]
+    if len(found) > MAX_LABELS:
+        return dense_keys(values, [column], name).withColumn(name, F.col(name) + (start - 1))
+    ranked = [(label, rank) for rank, label in enumerate(sorted(found), start)]
+    kind = values.schema[column].dataType.simpleString()
+    return df.sparkSession.createDataFrame(ranked, f"`{column}` {kind}, `{name}` BIGINT")

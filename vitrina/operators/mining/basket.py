@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrina.functions.measures import rows
-from vitrina.session import cut_lineage
+from vitrina.session import stored
 
 ITEMSETS = "items ARRAY<STRING>, frecuencia BIGINT, soporte DOUBLE"
 
@@ -39,29 +40,30 @@ def frequent_itemsets(
     min_support) items, which bounds every basket array whatever the order.
     """
     spark = pairs.sparkSession
-    orders = pairs.agg(F.countDistinct(order)).head()[0]
-    if orders == 0:
-        return spark.createDataFrame([], ITEMSETS)
-    needed = max(1, math.ceil(round(min_support * orders, 9)))
-    frequent = pairs.groupBy(item).agg(rows().alias("_n")).where(F.col("_n") >= needed).select(item)
-    arrays = baskets(pairs.join(frequent, item, "left_semi").withColumn(item, F.col(item).cast("string")), order, item)
-    arrays = arrays.select("items").persist()
-    kept = arrays.count()
-    if kept == 0:
-        arrays.unpersist()
-        return spark.createDataFrame([], ITEMSETS)
-    # The threshold is a number of orders; half a row below it keeps the rounding safe.
-    miner = FPGrowth(itemsCol="items", minSupport=min(1.0, (needed - 0.5) / kept))
+    pairs = pairs.select(order, F.col(item).cast("string").alias(item)).persist(StorageLevel.MEMORY_AND_DISK)
+    arrays = None
     try:
+        orders = pairs.agg(F.countDistinct(order)).head()[0]
+        needed = max(1, math.ceil(round(min_support * orders, 9)))
+        frequent = pairs.groupBy(item).agg(rows().alias("_n")).where(F.col("_n") >= needed).select(item)
+        arrays = baskets(pairs.join(frequent, item, "left_semi"), order, item)
+        arrays = arrays.select("items").persist(StorageLevel.MEMORY_AND_DISK)
+        kept = arrays.count()
+        if kept == 0:
+            return spark.createDataFrame([], ITEMSETS)
+        # The threshold is a number of orders; half a row below it keeps the rounding safe.
+        miner = FPGrowth(itemsCol="items", minSupport=min(1.0, (needed - 0.5) / kept))
         found = miner.fit(arrays).freqItemsets.select(
             F.sort_array("items").alias("items"),
             F.col("freq").alias("frecuencia"),
             (F.col("freq") / F.lit(orders)).alias("soporte"),
         )
         # Kept because the rules join the sets with themselves.
-        return cut_lineage(found)
+        return stored(found)
     finally:
-        arrays.unpersist()
+        pairs.unpersist()
+        if arrays is not None:
+            arrays.unpersist()
 
 
 def label(items: Column | str, first: int | None = None) -> Column:

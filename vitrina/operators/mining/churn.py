@@ -13,11 +13,11 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrina.functions.dates import elapsed_days
 from vitrina.functions.measures import ratio, rows
-from vitrina.functions.rules import CHURN_DAYS, churned, stable_hash
+from vitrina.functions.rules import CHURN_DAYS, NO_ORDER_RECENCY, churned, stable_hash
 from vitrina.operators.mining.cluster import feature_vectors
-from vitrina.session import cut_lineage
+from vitrina.operators.rfm import customer_activity
+from vitrina.session import stored
 
 FEATURES = ["recency", "frecuencia", "monto_total", "tasa_devolucion", "dias_desde_registro"]
 LEAKY = ["recency"]  # the label is a threshold on it
@@ -37,33 +37,16 @@ def churn_rate(labelled: DataFrame, label: str = "churn") -> DataFrame:
 
 
 def churn_features(customers: DataFrame, orders: DataFrame, lines: DataFrame, days: int = CHURN_DAYS) -> DataFrame:
-    """RFM plus share of returned lines and days since the first order."""
-    newest = orders.agg(F.max("fecha_orden")).scalar()
-    per_order = lines.groupBy("id_orden").agg(
-        rows().alias("lineas"), F.sum(F.col("devuelto").cast("int")).alias("devueltas")
-    )
-    per_customer = (
-        orders.select("id_orden", "id_cliente", "fecha_orden")
-        .join(per_order, "id_orden", "left")
-        .groupBy("id_cliente")
-        .agg(
-            F.coalesce(ratio(F.sum("devueltas"), F.sum("lineas")), F.lit(0.0)).alias("tasa_devolucion"),
-            F.min("fecha_orden").alias("_primera"),
-        )
-    )
-    return (
-        churn_label(customers, days)
-        .join(per_customer, "id_cliente", "left")
-        .select(
-            "id_cliente",
-            F.col("recency").cast("long").alias("recency"),
-            "frecuencia",
-            "monto_total",
-            F.coalesce("tasa_devolucion", F.lit(0.0)).alias("tasa_devolucion"),
-            F.coalesce(elapsed_days("_primera", newest), F.lit(0)).alias("dias_desde_registro"),
-            "churn",
-        )
-    )
+    """RFM plus share of returned lines and days since the first order, for every customer."""
+    activity = customers.select("id_cliente").join(customer_activity(orders, lines), "id_cliente", "left")
+    return activity.select(
+        "id_cliente",
+        F.coalesce("recency", F.lit(NO_ORDER_RECENCY)).alias("recency"),
+        F.coalesce("frecuencia", F.lit(0)).alias("frecuencia"),
+        F.coalesce(F.col("monto_total").cast("long"), F.lit(0)).alias("monto_total"),
+        F.coalesce(ratio("devueltas", "lineas"), F.lit(0.0)).alias("tasa_devolucion"),
+        F.coalesce("antiguedad", F.lit(0)).alias("dias_desde_registro"),
+    ).transform(lambda df: churn_label(df, days))
 
 
 def with_split(df: DataFrame, key: str, train_pct: int = 70, seed: int = 42) -> DataFrame:
@@ -104,8 +87,8 @@ def feature_list(exclude_leaky: bool = False) -> list[str]:
 
 def training_frame(features: DataFrame, exclude_leaky: bool = False, seed: int = 42) -> DataFrame:
     """Split, weighted and assembled features, computed once for all passes of a model."""
-    weighted = with_balanced_weight(with_split(cut_lineage(features), "id_cliente", seed=seed), "churn")
-    return feature_vectors(cut_lineage(weighted), feature_list(exclude_leaky))
+    weighted = with_balanced_weight(with_split(stored(features), "id_cliente", seed=seed), "churn")
+    return feature_vectors(stored(weighted), feature_list(exclude_leaky))
 
 
 def fit_on_train(

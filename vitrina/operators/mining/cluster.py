@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from vitrina.functions.measures import rows
-from vitrina.session import cut_lineage
+from vitrina.session import stored
 
 RFM = ("recency", "frecuencia", "monto_total")
 ELBOW = "k INT, inercia DOUBLE, silueta DOUBLE, metrica STRING"
@@ -41,6 +41,11 @@ def standardize(df: DataFrame, columns: Sequence[str] = RFM, suffix: str = "_z")
     ).drop("_m")
 
 
+def scaled_rfm(customers: DataFrame) -> DataFrame:
+    """Standardized RFM; stored first because moments and rows are two passes."""
+    return standardize(stored(customers.select("id_cliente", *RFM)))
+
+
 def feature_vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol="features").transform(df)
 
@@ -53,8 +58,7 @@ def fit_best(vectors: DataFrame, k: int, seed: int = 42, restarts: int = 3) -> K
 
 def scaled_vectors(customers: DataFrame) -> DataFrame:
     """Scaled features, computed once for all passes of the clustering."""
-    scaled = cut_lineage(standardize(customers.select("id_cliente", *RFM)))
-    return feature_vectors(scaled, [f"{c}_z" for c in RFM])
+    return feature_vectors(stored(scaled_rfm(customers)), [f"{c}_z" for c in RFM])
 
 
 def elbow(

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from vitrina.functions.measures import clip, ratio, rows, total
 from vitrina.functions.rules import right_closed_bins, stable_uniform
@@ -98,20 +99,26 @@ def class_moments(df: DataFrame, features: Sequence[str], label: str) -> DataFra
     """Long form of the model: one row per class and feature.
 
     The variance is the population variance plus 1e-9 of the largest feature
-    variance over all rows.
+    variance over all rows, which follows from the moments of the classes, so
+    the data is read once.
     """
     per_class = [m for f in features for m in (F.avg(f).alias(f"m_{f}"), F.var_pop(f).alias(f"v_{f}"))]
-    overall = df.agg(F.greatest(*[F.var_pop(f) for f in features], F.lit(0.0)) * SMOOTHING).scalar()
-    everything = df.agg(rows()).scalar()
+    # One row per class reaches this window.
+    classes = W.partitionBy()
+    n = F.sum("n").over(classes)
+    model = df.groupBy(F.col(label).alias("clase")).agg(rows().alias("n"), *per_class)
+    model = model.withColumns({f"_m_{f}": F.sum(F.col("n") * F.col(f"m_{f}")).over(classes) / n for f in features})
+    overall = [
+        F.sum(F.col("n") * (F.col(f"v_{f}") + F.pow(F.col(f"m_{f}") - F.col(f"_m_{f}"), F.lit(2.0)))).over(classes) / n
+        for f in features
+    ]
     by_feature = [
         F.struct(F.lit(f).alias("feature"), F.col(f"m_{f}").alias("media"), (F.col(f"v_{f}") + F.col("_e")).alias("varianza"))
         for f in features
     ]
     return (
-        df.groupBy(F.col(label).alias("clase"))
-        .agg(rows().alias("n"), *per_class)
-        .withColumn("_e", overall)
-        .withColumn("prior", ratio("n", everything))
+        model.withColumn("_e", F.greatest(*overall, F.lit(0.0)) * SMOOTHING)
+        .withColumn("prior", ratio("n", n))
         .select("clase", "n", "prior", F.inline(F.array(*by_feature)))
     )
 

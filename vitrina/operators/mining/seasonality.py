@@ -21,10 +21,23 @@ def weekly_sales(fact: DataFrame, series: Sequence[str] = ()) -> DataFrame:
         .groupBy(*series, week_ending("fecha_orden").alias("semana_fin"))
         .agg(total("subtotal").alias("ventas"), F.countDistinct("id_orden").alias("transacciones"))
     )
-    span = sold.groupBy(*series).agg(F.min("semana_fin").alias("_a"), F.max("semana_fin").alias("_b"))
-    weeks = F.sequence("_a", "_b", F.expr("INTERVAL 7 DAYS"))
-    grid = span.select(*series, F.posexplode(weeks).alias("i", "semana_fin"))
-    return grid.join(sold, [*series, "semana_fin"], "left").na.fill({"ventas": 0.0, "transacciones": 0})
+    # Every week is repeated up to the one before the next week with sales; the repeats count 0.
+    one = W.partitionBy(*series)
+    before_next = F.date_sub(F.lead("semana_fin").over(one.orderBy("semana_fin")), 7)
+    weeks = F.sequence("semana_fin", F.coalesce("_hasta", "semana_fin"), F.expr("INTERVAL 7 DAYS"))
+    real = F.col("_salto") == 0
+    return (
+        sold.withColumn("_hasta", before_next)
+        .withColumn("_inicio", F.min("semana_fin").over(one))
+        .select(*series, "_inicio", "ventas", "transacciones", F.posexplode(weeks).alias("_salto", "semana_fin"))
+        .select(
+            *series,
+            F.floor(F.datediff("semana_fin", "_inicio") / 7).cast("int").alias("i"),
+            "semana_fin",
+            F.when(real, F.col("ventas")).otherwise(0.0).alias("ventas"),
+            F.when(real, F.col("transacciones")).otherwise(0).alias("transacciones"),
+        )
+    )
 
 
 def _centered_mean(value: str, period: int, series: W, position: str, length: Column) -> Column:

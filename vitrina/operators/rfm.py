@@ -44,6 +44,37 @@ def customer_monetary(rfm: DataFrame, orders: DataFrame, lines: DataFrame) -> Da
     return rfm.join(per_customer, "id_cliente", "left").na.fill({"monto_total": 0.0})
 
 
+def customer_activity(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Everything the customer dimension and the churn features need, in one pass.
+
+    Lines are reduced to one row per order before they meet the orders, orders
+    to one row per customer.
+    """
+    per_order = lines.groupBy("id_orden").agg(
+        F.sum(money("subtotal")).alias("monto"),
+        rows().alias("lineas"),
+        F.sum(F.col("devuelto").cast("int")).alias("devueltas"),
+    )
+    newest = orders.agg(F.max("fecha_orden")).scalar()
+    return (
+        orders.where(F.col("id_cliente").isNotNull())
+        .select("id_orden", "id_cliente", "fecha_orden")
+        .join(per_order, "id_orden", "left")
+        .groupBy("id_cliente")
+        .agg(
+            F.max("fecha_orden").alias("ultima_compra"),
+            F.min("fecha_orden").alias("primera_compra"),
+            F.countDistinct("id_orden").alias("frecuencia"),
+            F.count("id_orden").alias("monetario"),
+            F.coalesce(F.sum("monto").cast("double"), F.lit(0.0)).alias("monto_total"),
+            F.coalesce(F.sum("lineas"), F.lit(0)).alias("lineas"),
+            F.coalesce(F.sum("devueltas"), F.lit(0)).alias("devueltas"),
+        )
+        .withColumn("recency", elapsed_days("ultima_compra", newest))
+        .withColumn("antiguedad", elapsed_days("primera_compra", newest))
+    )
+
+
 def _midnight(day: date) -> Column:
     return F.lit(datetime.combine(day, time.min)).cast("timestamp_ntz")
 

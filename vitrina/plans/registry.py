@@ -13,7 +13,7 @@ from vitrina.operators import audit, cube, dimensions, kpi, olap, orders, rfm, s
 from vitrina.operators.mining import basket, churn, cluster, correlation, metrics, returns, seasonality
 from vitrina.plans import parameters as P
 from vitrina.plans.warehouse import Warehouse
-from vitrina.session import configure, scratch_path
+from vitrina.session import configure, scratch_path, stored
 from vitrina.sinks.writers import overwrite, reread_csv
 from vitrina.sources.readers import read_csv, read_table, read_xml
 from vitrina.sources.retail import Retail
@@ -349,7 +349,7 @@ def cube_grouping_sets(w):
 
 @query
 def cube_reconcile(w):
-    return cube.cube_reconcile(_cube_base(w))
+    return cube.cube_reconcile(stored(_cube_base(w), "Cubo_Ventas_N0"))
 
 
 # --- OLAP -------------------------------------------------------------------------
@@ -483,7 +483,7 @@ def delivery_dates(w):
 
 @query
 def rfm_scaled(w):
-    scaled = cluster.standardize(w.customers.select("id_cliente", *cluster.RFM))
+    scaled = cluster.scaled_rfm(w.customers)
     z = [f"{c}_z" for c in cluster.RFM]
     return rounded(scaled.select("id_cliente", *z), *z)
 
@@ -514,7 +514,7 @@ def churn_rate(w):
 
 
 def _churn_features(w):
-    return churn.churn_features(w.customers, w.retail.orders, w.retail.order_lines)
+    return churn.churn_features(w.retail.customers, w.retail.orders, w.retail.order_lines)
 
 
 @query

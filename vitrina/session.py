@@ -52,9 +52,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/vitrina/{uuid.uuid4().hex}/{name}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result survives the loss of executors."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame, name: str = "etapa") -> DataFrame:
+    """The frame as a table written to the shared folder.
+
+    Cuts the lineage, survives the loss of executors, and gives the plans above
+    it real sizes and pruned columns.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
