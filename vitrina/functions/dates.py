@@ -55,4 +55,8 @@ def parse_timestamp(text: Column | str) -> Column:
 
 
 def plus_days(moment: Column | str, days: Column | str) -> Column:
-    return col(moment) + F.make_dt_interval(col(days).cast("int"))
+    return col(moment) + F.expr("INTERVAL '1' DAY") * col(days)
+
+
+def plus_hours(moment: Column | str, hours: Column | str) -> Column:
+    return col(moment) + F.expr("INTERVAL '1' HOUR") * col(hours)

@@ -1,7 +1,7 @@
 """Column expressions for money, ratios and rounding.
 
-Money is summed as exact decimals so a total is the same for any partitioning;
-ratios are plain doubles.  Rounding is half-even throughout.
+Money is stored as doubles and summed exactly, so a total is the same for any
+partitioning; ratios are plain doubles.  Rounding is half-even throughout.
 """
 
 from __future__ import annotations
@@ -10,35 +10,52 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MILLION = 1_000_000
+UNIT = 10_000
+LOW_BITS = 20
 
 
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact(value: Column | str, scale: int) -> Column:
-    """A double that carries at most ``scale`` decimals, as a decimal."""
-    return col(value).cast(f"decimal({10 + scale},{scale})")
+def hundredths(value: Column | str) -> Column:
+    """A double with at most two decimals as whole hundredths."""
+    return F.rint(col(value) * 100).cast("long")
 
 
-def money(value: Column | str) -> Column:
-    """Input of a money sum: whole or fractional amounts as ``decimal(18,4)``."""
-    return col(value).cast("decimal(18,4)")
+def units(value: Column | str) -> Column:
+    """An amount with at most four decimals as whole ten-thousandths.
+
+    Exact below 9e11; a long is far cheaper to add up than a decimal.
+    """
+    return F.rint(col(value) * UNIT).cast("long")
+
+
+def sum_units(value: Column | str) -> Column:
+    """Exact sum of longs that may exceed a long.
+
+    High and low bits are summed apart as plain longs and put together once per
+    group, so the total does not depend on row order and cannot overflow.
+    """
+    v = col(value)
+    high = F.sum(F.shiftright(v, LOW_BITS)).cast("decimal(20,0)")
+    low = F.sum(v.bitwiseAND(F.lit((1 << LOW_BITS) - 1))).cast("decimal(20,0)")
+    return (high * F.lit(1 << LOW_BITS).cast("decimal(10,0)") + low).cast("double")
 
 
 def total(value: Column | str) -> Column:
-    """Order-independent sum of money; 0 when every value is null."""
-    return F.coalesce(F.sum(money(value)).cast("double"), F.lit(0.0))
+    """Sum of money; 0 when every value is null."""
+    return F.coalesce(sum_units(units(value)) / UNIT, F.lit(0.0))
 
 
 def mean(value: Column | str) -> Column:
     """Mean of money from the exact sum; null when there is no value."""
-    return F.try_divide(F.sum(money(value)).cast("double"), F.count(col(value)))
+    return F.try_divide(sum_units(units(value)) / UNIT, F.count(col(value)))
 
 
 def rate_sum(value: Column | str) -> Column:
     """Sum of rates with up to four decimals (a discount rate, not an amount)."""
-    return F.coalesce(F.sum(col(value).cast("decimal(9,4)")).cast("double"), F.lit(0.0))
+    return F.coalesce(F.sum(units(value)) / UNIT, F.lit(0.0))
 
 
 def rows() -> Column:
@@ -77,10 +94,9 @@ def guarded_margin_pct(price: Column | str, cost: Column | str) -> Column:
     return F.when(col(price) > 0, margin_pct(price, cost)).otherwise(F.lit(0))
 
 
-def estimated_cost(amount: Column | str, margin: Column | str) -> Column:
-    """Amount without its margin; exact for a whole-percent margin."""
-    kept = (F.lit(100) - col(margin)).cast("decimal(5,0)") * F.lit("0.01").cast("decimal(3,2)")
-    return (money(amount) * kept).cast("decimal(24,6)")
+def total_cost(amount: Column | str, margin: Column | str) -> Column:
+    """Sum of amounts without their whole-percent margins."""
+    return F.coalesce(sum_units(units(amount) * (100 - col(margin))) / (UNIT * 100), F.lit(0.0))
 
 
 def line_subtotal(price: Column | str, quantity: Column | str, discount: Column | str, decimals: int = 0) -> Column:

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from vitrina.functions.measures import (
-    estimated_cost,
     growth_pct,
     half_even,
     millions,
     percent,
     ratio,
     total,
+    total_cost,
 )
 from vitrina.functions.rules import growth_band, margin_band
 
@@ -55,11 +55,10 @@ def yoy_same_period(star: DataFrame) -> DataFrame:
 def margin_by_category(star: DataFrame) -> DataFrame:
     """Revenue, estimated cost and three views of the margin per category."""
     return (
-        star.withColumn("_costo", estimated_cost("subtotal", "margen_pct"))
-        .groupBy("nombre_categoria")
+        star.groupBy("nombre_categoria")
         .agg(
             total("subtotal").alias("ingresos"),
-            F.sum("_costo").cast("double").alias("costo_estimado"),
+            total_cost("subtotal", "margen_pct").alias("costo_estimado"),
             F.avg("margen_pct").alias("margen_promedio"),
             F.sum("cantidad").alias("unidades"),
         )

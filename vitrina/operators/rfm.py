@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrina.functions.dates import elapsed_days
-from vitrina.functions.measures import money, rows
+from vitrina.functions.measures import rows, total
 from vitrina.functions.rules import NO_ORDER_RECENCY
 
 
@@ -30,7 +30,7 @@ def rfm_base(orders: DataFrame) -> DataFrame:
 
 def order_amounts(lines: DataFrame) -> DataFrame:
     """Exact amount per order; one row per order leaves the line table."""
-    return lines.groupBy("id_orden").agg(F.sum(money("subtotal")).alias("monto"))
+    return lines.groupBy("id_orden").agg(total("subtotal").alias("monto"))
 
 
 def customer_monetary(rfm: DataFrame, orders: DataFrame, lines: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def customer_monetary(rfm: DataFrame, orders: DataFrame, lines: DataFrame) -> Da
         order_amounts(lines)
         .join(orders.select("id_orden", "id_cliente"), "id_orden")
         .groupBy("id_cliente")
-        .agg(F.sum("monto").cast("double").alias("monto_total"))
+        .agg(total("monto").alias("monto_total"))
     )
     return rfm.join(per_customer, "id_cliente", "left").na.fill({"monto_total": 0.0})
 
@@ -51,7 +51,7 @@ def customer_activity(orders: DataFrame, lines: DataFrame) -> DataFrame:
     to one row per customer.
     """
     per_order = lines.groupBy("id_orden").agg(
-        F.sum(money("subtotal")).alias("monto"),
+        total("subtotal").alias("monto"),
         rows().alias("lineas"),
         F.sum(F.col("devuelto").cast("int")).alias("devueltas"),
     )
@@ -66,7 +66,7 @@ def customer_activity(orders: DataFrame, lines: DataFrame) -> DataFrame:
             F.min("fecha_orden").alias("primera_compra"),
             F.countDistinct("id_orden").alias("frecuencia"),
             F.count("id_orden").alias("monetario"),
-            F.coalesce(F.sum("monto").cast("double"), F.lit(0.0)).alias("monto_total"),
+            total("monto").alias("monto_total"),
             F.coalesce(F.sum("lineas"), F.lit(0)).alias("lineas"),
             F.coalesce(F.sum("devueltas"), F.lit(0)).alias("devueltas"),
         )
@@ -97,7 +97,7 @@ def rfm_as_of(customers: DataFrame, orders: DataFrame, lines: DataFrame, cutoffs
         measures += [
             F.max(F.when(seen, F.col("fecha_orden"))).alias(f"ultima_{i}"),
             F.count(F.when(seen, F.col("id_orden"))).alias(f"frecuencia_{i}"),
-            F.sum(F.when(seen, F.col("monto"))).alias(f"monto_{i}"),
+            total(F.when(seen, F.col("monto"))).alias(f"monto_{i}"),
         ]
     per_customer = priced.groupBy("id_cliente").agg(*measures)
     snapshots = [
@@ -105,7 +105,7 @@ def rfm_as_of(customers: DataFrame, orders: DataFrame, lines: DataFrame, cutoffs
             F.lit(cutoff).alias("corte"),
             F.coalesce(elapsed_days(f"ultima_{i}", _midnight(cutoff)), F.lit(NO_ORDER_RECENCY)).alias("recency"),
             F.coalesce(F.col(f"frecuencia_{i}"), F.lit(0)).alias("frecuencia"),
-            F.coalesce(F.col(f"monto_{i}").cast("double"), F.lit(0.0)).alias("monto"),
+            F.coalesce(f"monto_{i}", F.lit(0.0)).alias("monto"),
         )
         for i, cutoff in enumerate(cutoffs)
     ]

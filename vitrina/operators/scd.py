@@ -20,6 +20,7 @@ from vitrina.functions.rules import SNAPSHOT_RULE, SegmentRule, rfm_segment
 from vitrina.operators.joins import latest_by, next_start
 from vitrina.operators.keys import dense_keys
 from vitrina.operators.rfm import rfm_as_of
+from vitrina.session import stored
 
 # First load date and the end date of an open version.
 FIRST_DAY = date(2023, 1, 1)
@@ -44,65 +45,54 @@ def price_validity(history: DataFrame) -> DataFrame:
     return next_start(history, "id_producto", "fecha_inicio", "id_historico_precio", "fecha_fin")
 
 
-def _product_version(prices: DataFrame) -> DataFrame:
-    return prices.select(
+def scd2_product(
+    products: DataFrame, history: DataFrame, strict: bool = False, first_day: date = FIRST_DAY
+) -> DataFrame:
+    """Versions of the product dimension ``products`` from its price change log.
+
+    ``history`` should be a stored table.  A product meets its changes in one
+    inner join, whose hot side can be split; products without a change are added.
+    """
+    ends = price_validity(history.drop("fecha_fin")) if strict else history
+    latest = latest_by(history, "id_producto", ["fecha_inicio", "id_historico_precio"], ["precio"]).select(
+        "id_producto", F.col("fecha_inicio").alias("_inicio_ultimo"), F.col("id_historico_precio").alias("_id_ultimo")
+    )
+    named = stored(
+        products.select(
+            "id_producto", "nombre_producto", "id_categoria", "nombre_categoria", "id_proveedor", "nombre_proveedor",
+            "precio_unitario", "costo_unitario", "activo",
+        ).join(latest, "id_producto", "left")
+    )
+    change = ends.select(
+        "id_producto",
+        F.col("id_historico_precio").alias("_id"),
+        F.col("precio").cast("double").alias("_precio"),
+        F.col("costo").cast("double").alias("_costo"),
+        F.to_date("fecha_inicio").alias("_inicio"),
+        F.to_date("fecha_fin").alias("_fin"),
+    )
+    changed = named.join(change, "id_producto")
+    unchanged = named.where(F.col("_id_ultimo").isNull())
+    rows_ = changed.unionByName(unchanged, allowMissingColumns=True)
+    is_now = F.col("_id").isNull() | (F.col("_id") == F.col("_id_ultimo"))
+    since = F.coalesce("_inicio", F.lit(first_day))
+    price, cost = F.coalesce("_precio", "precio_unitario"), F.coalesce("_costo", "costo_unitario")
+    versions = rows_.select(
         F.col("id_producto").alias("id_producto_nk"),
         "nombre_producto",
         "id_categoria",
         "nombre_categoria",
         "id_proveedor",
         "nombre_proveedor",
-        F.col("precio").cast("double").alias("precio_unitario"),
-        F.col("costo").cast("double").alias("costo_unitario"),
-        guarded_margin_pct("precio", "costo").alias("margen_pct"),
+        price.alias("precio_unitario"),
+        cost.alias("costo_unitario"),
+        guarded_margin_pct(price, cost).alias("margen_pct"),
         "activo",
-        "fecha_inicio",
-        "fecha_fin",
-        "es_actual",
-        "_orden",
-    )
-
-
-def scd2_product(
-    products: DataFrame, history: DataFrame, strict: bool = False, first_day: date = FIRST_DAY
-) -> DataFrame:
-    """Versions of the product dimension ``products`` from its price change log."""
-    names = products.select(
-        "id_producto", "nombre_producto", "id_categoria", "nombre_categoria", "id_proveedor", "nombre_proveedor", "activo"
-    )
-    current = price_current(products, history)
-    is_last = F.col("id_historico_precio") == F.col("_id_ultimo")
-    last = current.where(F.col("id_historico_precio").isNotNull()).select(
-        "id_producto",
-        F.col("id_historico_precio").alias("_id_ultimo"),
-        F.col("fecha_inicio").alias("_inicio_ultimo"),
-    )
-    start_now = F.coalesce("fecha_inicio", F.lit(first_day)) if strict else F.lit(first_day)
-    now = current.select(
-        "id_producto",
-        "precio",
-        "costo",
-        start_now.alias("fecha_inicio"),
-        F.lit(OPEN_END).alias("fecha_fin"),
-        F.lit(1).alias("es_actual"),
-        F.lit(0).cast("long").alias("_orden"),
-    )
-    if strict:
-        history = price_validity(history.drop("fecha_fin"))
-    past = (
-        history.join(last, "id_producto")
-        .where(~is_last)
-        .select(
-            "id_producto",
-            F.col("precio").cast("double").alias("precio"),
-            F.col("costo").cast("double").alias("costo"),
-            F.coalesce(F.to_date("fecha_inicio"), F.lit(first_day)).alias("fecha_inicio"),
-            F.coalesce(F.to_date("fecha_fin"), "_inicio_ultimo").alias("fecha_fin"),
-            F.lit(0).alias("es_actual"),
-            F.col("id_historico_precio").alias("_orden"),
-        )
+        (since if strict else F.when(is_now, F.lit(first_day)).otherwise(since)).alias("fecha_inicio"),
+        F.when(is_now, F.lit(OPEN_END)).otherwise(F.coalesce("_fin", "_inicio_ultimo")).alias("fecha_fin"),
+        is_now.cast("int").alias("es_actual"),
+        F.coalesce("_id", F.lit(0)).alias("_orden"),
     )
-    versions = now.unionByName(past).join(names, "id_producto").transform(_product_version)
     order = [F.col("es_actual").desc(), "id_producto_nk", "fecha_inicio", "_orden"]
     return dense_keys(versions, order, "id_producto_sk").drop("_orden")
 

@@ -206,9 +206,7 @@ def dim_campaign(w):
 
 @query
 def fact_sales(w):
-    return w.fact.withColumn("subtotal_entero", half_even("subtotal").cast("long")).withColumn(
-        "subtotal", F.col("subtotal").cast("double")
-    )
+    return w.fact.withColumn("subtotal_entero", half_even("subtotal").cast("long"))
 
 
 @query
@@ -217,7 +215,7 @@ def star_join(w):
     return out.select(
         "id_detalle", "id_orden", "id_producto", "id_cliente", "id_tienda", "anio", "mes", "trimestre",
         "nombre_categoria", "margen_pct", "segmento_rfm", "ciudad_cliente", "zona_cliente", "tipo_tienda",
-        "ciudad_tienda", "zona_tienda", "cantidad", F.col("subtotal").cast("double").alias("subtotal"),
+        "ciudad_tienda", "zona_tienda", "cantidad", "subtotal",
     )
 
 
@@ -246,8 +244,10 @@ def price_validity(w):
 
 
 def _scd2_product(w, strict):
+    """The price log is a source table, so it is stored like one."""
     history = w.retail.price_history
-    return scd.scd2_product(w.products, history if strict else scd.price_validity(history), strict, P.FIRST_DAY)
+    history = stored(history if strict else scd.price_validity(history), "historicoprecios")
+    return scd.scd2_product(w.products, history, strict, P.FIRST_DAY)
 
 
 @query
@@ -319,7 +319,7 @@ def _cube_base(w):
 
 @query
 def cube_n0(w):
-    return cube.cube_level(_cube_base(w), 0).withColumn("subtotal", F.col("subtotal").cast("double"))
+    return cube.cube_level(_cube_base(w), 0)
 
 
 @query
@@ -460,7 +460,7 @@ def orders_sorted(w):
 def lines_semi_orders(w):
     done = orders.orders_in_status(w.retail.orders, ["Completada"])
     lines = orders.lines_of(w.retail.order_lines, done)
-    return lines.select("id_detalle", "id_orden", "id_producto", "cantidad", F.col("subtotal").cast("double").alias("subtotal"))
+    return lines.select("id_detalle", "id_orden", "id_producto", "cantidad", "subtotal")
 
 
 @query

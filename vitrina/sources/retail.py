@@ -12,7 +12,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrina.functions.measures import exact
+from vitrina.functions.dates import plus_hours
+from vitrina.functions.measures import UNIT, hundredths
 from vitrina.operators.keys import dense_rank_of_values
 from vitrina.sources.readers import read_table
 from vitrina.sources.schemas import TABLES
@@ -35,14 +36,6 @@ PROMOTION_SCHEMA = (
 )
 
 
-def _hours(n: Column) -> Column:
-    return F.make_dt_interval(F.lit(0), n.cast("int"))
-
-
-def _days(n: Column) -> Column:
-    return F.make_dt_interval(n.cast("int"))
-
-
 class Retail:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -98,10 +91,9 @@ class Retail:
             )
         )
 
-    def _cost(self, price: Column, key: Column) -> Column:
-        """35 % to 75 % of the price, computed exactly and kept to cents."""
-        pct = (F.lit(35) + F.lit(5) * (key % 9)).cast("decimal(3,0)")
-        return (exact(price, 2) * pct * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(14,2)").cast("double")
+    def _cost(self, cents: Column, key: Column) -> Column:
+        """35 % to 75 % of the price, computed in whole cents."""
+        return F.floor((cents * (key % 9 * 5 + 35) + 50) / 100).cast("double") / 100
 
     @cached_property
     def products(self) -> DataFrame:
@@ -115,7 +107,7 @@ class Retail:
                 "id_categoria",
                 (F.col("p_partkey") % self._rows("supplier")).alias("id_proveedor"),
                 F.col("p_retailprice").alias("precio_unitario"),
-                self._cost(F.col("p_retailprice"), F.col("p_partkey")).alias("costo_unitario"),
+                self._cost(hundredths("p_retailprice"), F.col("p_partkey")).alias("costo_unitario"),
                 (F.col("p_size") % 12 != 0).alias("activo"),
             )
         )
@@ -186,7 +178,7 @@ class Retail:
             F.col("o_custkey").alias("id_cliente"),
             (key % self._rows("customer")).alias("id_empleado"),
             F.substring("o_orderpriority", 1, 1).cast("long").alias("id_metodo_pago"),
-            (F.col("o_orderdate") + _hours(key % 24)).alias("fecha_orden"),
+            plus_hours("o_orderdate", key % 24).alias("fecha_orden"),
             F.when(F.col("o_orderstatus") == "F", "Completada")
             .when(F.col("o_orderstatus") == "O", "Pendiente")
             .otherwise("Cancelada")
@@ -195,9 +187,8 @@ class Retail:
 
     @cached_property
     def order_lines(self) -> DataFrame:
-        """``subtotal`` is exact (four decimals), so sums do not depend on row order."""
-        price = exact(F.col("l_extendedprice"), 2)
-        keep = F.lit(1).cast("decimal(1,0)") - F.col("l_discount").cast("decimal(4,2)")
+        """``subtotal`` is computed in whole ten-thousandths, so it carries no rounding noise."""
+        net = hundredths("l_extendedprice") * (100 - hundredths("l_discount"))
         return self.raw("lineitem").select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id_detalle"),
             F.col("l_orderkey").alias("id_orden"),
@@ -206,7 +197,7 @@ class Retail:
             F.col("l_quantity").cast("long").alias("cantidad"),
             (F.col("l_extendedprice") / F.col("l_quantity")).alias("precio_unitario"),
             F.col("l_discount").alias("descuento"),
-            (price * keep).cast("decimal(18,4)").alias("subtotal"),
+            (net.cast("double") / UNIT).alias("subtotal"),
             (F.col("l_returnflag") == "R").alias("devuelto"),
         )
 
@@ -226,7 +217,7 @@ class Retail:
             (F.col("id_producto") * 100000 + F.col("q")).alias("id_historico_precio"),
             "id_producto",
             price,
-            self._cost(F.col("centavos").cast("double") / 100, F.col("id_producto")).alias("costo"),
+            self._cost(F.col("centavos"), F.col("id_producto")).alias("costo"),
             start.alias("fecha_inicio"),
         )
 
