@@ -56,6 +56,8 @@ def session(cpus: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", cpus if cpus != "*" else str(os.cpu_count()))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # Call sites of every column expression cost more than planning these queries.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,17 +21,23 @@ def order_detail(lines: DataFrame, orders: DataFrame) -> DataFrame:
     return lines.join(orders.select("id_orden", *header), "id_orden")
 
 
-def sales_fact(lines: DataFrame, orders: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Detail rows with the surrogate date key; rows without a calendar day drop out."""
+CALENDAR = ["anio", "mes", "nombre_mes", "trimestre"]
+
+
+def sales_fact(lines: DataFrame, orders: DataFrame, calendar: DataFrame, attributes: Sequence[str] = ()) -> DataFrame:
+    """Detail rows with the surrogate date key; rows without a calendar day drop out.
+
+    ``attributes`` of the calendar can be taken along from the same lookup.
+    """
     # The calendar has one row per day at most, which bounds the broadcast.
-    days = F.broadcast(calendar.select("id_tiempo", "fecha_date"))
+    days = F.broadcast(calendar.select("id_tiempo", "fecha_date", *attributes))
     return (
         order_detail(lines, orders)
         .withColumn("fecha_date", F.to_date("fecha_orden"))
         .join(days, "fecha_date")
         .na.drop(subset=["id_tiempo"])
         .drop("fecha_date")
-        .select(*FACT)
+        .select(*FACT, *attributes)
     )
 
 
@@ -47,8 +55,7 @@ def star(
     """
     out = fact
     if calendar is not None:
-        days = calendar.select("id_tiempo", "anio", "mes", "nombre_mes", "trimestre")
-        out = out.join(F.broadcast(days), "id_tiempo")
+        out = out.join(F.broadcast(calendar.select("id_tiempo", *CALENDAR)), "id_tiempo")
     if products is not None:
         out = out.join(products.select("id_producto", "nombre_producto", "nombre_categoria", "margen_pct"), "id_producto")
     if customers is not None:

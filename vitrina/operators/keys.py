@@ -42,9 +42,9 @@ def dense_rank_of_values(df: DataFrame, column: str, name: str, start: int = 0)
     numbered by ``dense_keys``.
     """
     values = df.select(column).where(F.col(column).isNotNull()).distinct()
-    found = [row[0] for row in values.limit(MAX_LABELS + 1).collect()]
+    found = [row[0] for row in values.orderBy(column).limit(MAX_LABELS + 1).collect()]
     if len(found) > MAX_LABELS:
         return dense_keys(values, [column], name).withColumn(name, F.col(name) + (start - 1))
-    ranked = [(label, rank) for rank, label in enumerate(sorted(found), start)]
+    ranked = [(label, rank) for rank, label in enumerate(found, start)]
     kind = values.schema[column].dataType.simpleString()
     return df.sparkSession.createDataFrame(ranked, f"`{column}` {kind}, `{name}` BIGINT")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vitrina.functions.rules import DIMENSION_RULE, SegmentRule
 from vitrina.operators import dimensions as dims
-from vitrina.operators.facts import sales_fact, star
+from vitrina.operators.facts import CALENDAR, sales_fact, star
 from vitrina.sinks.writers import export_csv, load_tables
 from vitrina.sources.retail import Retail
 
@@ -74,7 +74,11 @@ class Warehouse:
 
     def star(self, *names: str) -> DataFrame:
         """Fact joined with the named dimensions (calendar, products, customers, stores)."""
-        return star(self.fact, **{name: getattr(self, name) for name in names})
+        fact, others = self.fact, [name for name in names if name != "calendar"]
+        if "calendar" in names:
+            # The date lookup of the fact already meets the calendar once.
+            fact = sales_fact(self.retail.order_lines, self.retail.orders, self.calendar, CALENDAR)
+        return star(fact, **{name: getattr(self, name) for name in others})
 
     def tables(self) -> dict[str, Callable[[], DataFrame]]:
         sources = ["calendar", "products", "customers", "stores", "employees", "payments", "suppliers", "campaigns", "fact"]

@@ -24,8 +24,9 @@ _local_root: str | None = None
 
 def configure(spark: SparkSession) -> SparkSession:
     """Set ``SQL_OPTIONS`` where the session still has Spark's default."""
+    given = spark.sparkContext.getConf()
     for key, value in SQL_OPTIONS.items():
-        if not spark.sparkContext.getConf().contains(key):
+        if not given.contains(key):
             spark.conf.set(key, value)
     return spark
 
