@@ -335,9 +335,9 @@ def _decompose(source: str, series: str = "") -> str:
             WINDOW w AS ({part} ORDER BY i)),
         f AS (SELECT {comma}i % 52 AS fase, avg(ventas - tendencia) AS m FROM t GROUP BY {comma}i % 52),
         g AS (SELECT {comma}avg(m) AS nivel FROM f {f"GROUP BY {series}" if series else ""})
-        SELECT {f"t.{series}, " if series else ""}t.i, t.semana_fin, t.ventas AS observado, round(t.tendencia, 3) AS tendencia,
-               round(f.m - g.nivel, 3) AS estacional,
-               round(t.ventas - t.tendencia - (f.m - g.nivel), 3) AS residuo
+        SELECT {f"t.{series}, " if series else ""}t.i, t.semana_fin, t.ventas AS observado, round(t.tendencia, 1) AS tendencia,
+               round(f.m - g.nivel, 1) AS estacional,
+               round(t.ventas - t.tendencia - (f.m - g.nivel), 1) AS residuo
         FROM t JOIN f ON f.fase = t.i % 52 {f"AND f.{series} = t.{series}" if series else ""}
              JOIN g {f"ON g.{series} = t.{series}" if series else using}"""
 

@@ -643,14 +643,14 @@ def weekly_sales(w):
 @query
 def seasonal_decompose(w):
     parts = seasonality.seasonal_decompose(seasonality.weekly_sales(w.fact))
-    return rounded(parts, "tendencia", "estacional", "residuo", decimals=3)
+    return rounded(parts, "tendencia", "estacional", "residuo", decimals=1)
 
 
 @query
 def seasonal_by_category(w):
     weekly = seasonality.weekly_sales(w.star("products"), ["nombre_categoria"])
     parts = seasonality.seasonal_decompose(weekly, ["nombre_categoria"])
-    return rounded(parts, "tendencia", "estacional", "residuo", decimals=3)
+    return rounded(parts, "tendencia", "estacional", "residuo", decimals=1)
 
 
 def _category_names(w) -> list[str]:
