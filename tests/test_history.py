@@ -112,14 +112,15 @@ def test_audit_counts_versions(spark):
 @given(
     st.lists(st.tuples(st.integers(0, 400), st.integers(0, 200)), min_size=1, max_size=12),
     st.lists(st.integers(0, 600), min_size=1, max_size=20),
+    st.sampled_from([1, 3]),
 )
-def test_interval_join_equals_the_nested_loop(spark, windows, days):
+def test_interval_join_equals_the_nested_loop(spark, windows, days, spread):
     base = datetime(2021, 1, 20)
     wins = [(i, (base + timedelta(days=a)).date(), (base + timedelta(days=a + n)).date()) for i, (a, n) in enumerate(windows)]
     facts = [(i, base + timedelta(days=d, hours=i % 24)) for i, d in enumerate(days)]
     left = spark.createDataFrame(facts, "f BIGINT, t TIMESTAMP_NTZ")
     right = spark.createDataFrame(wins, "w BIGINT, a DATE, b DATE")
-    found = sorted((r.f, r.w) for r in joins.interval_join(left, "t", right, "a", "b").collect())
+    found = sorted((r.f, r.w) for r in joins.interval_join(left, "t", right, "a", "b", spread=spread).collect())
     midnight = datetime.min.time()
     assert found == sorted(
         (f, w) for f, t in facts for w, a, b in wins if datetime.combine(a, midnight) <= t <= datetime.combine(b, midnight)

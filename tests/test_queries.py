@@ -55,5 +55,6 @@ def test_entry_has_rows(spark):
 def test_only_model_fits_lack_sql():
     without = set(entry_points.queries()) - set(entry_points.oracle_sql())
     assert without == {
-        "kmeans_elbow", "kmeans_segments", "cluster_profile", "churn_forest", "churn_importance", "churn_tree", "churn_cv",
+        "kmeans_elbow", "kmeans_segments", "cluster_profile", "churn_forest", "churn_importance", "churn_report",
+        "churn_tree", "churn_cv",
     }

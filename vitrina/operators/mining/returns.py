@@ -12,6 +12,7 @@ from pyspark.sql.window import Window as W
 
 from vitrina.functions.measures import clip, ratio, rows, total
 from vitrina.functions.rules import right_closed_bins, stable_uniform
+from vitrina.operators.audit import union_all
 from vitrina.operators.keys import dense_rank_of_values
 
 # Price bands and the terms of the risk score.
@@ -145,3 +146,23 @@ def predict_bayes(df: DataFrame, model: Sequence[ClassStats], features: Sequence
         choice = F.when(score == top, F.lit(m.label)).otherwise(choice)
     weight = sum((F.exp(s - top) for s in scores), F.lit(0.0))
     return df.withColumns({"prediccion": choice, "probabilidad": 1 / weight})
+
+
+def accuracy(scored: DataFrame, label: str) -> DataFrame:
+    return scored.agg(
+        rows().alias("n"), F.avg((F.col(label) == F.col("prediccion")).cast("int")).alias("exactitud")
+    )
+
+
+def cross_validate_bayes(df: DataFrame, features: Sequence[str], label: str, fold: str, folds: int) -> DataFrame:
+    """Mean accuracy over the folds of column ``fold`` (0 .. folds - 1).
+
+    ``df`` should be stored: it is read once per fold for the fit and once
+    to score its rows with the model that has not seen them.
+    """
+    scored = []
+    for left_out in range(folds):
+        model = fit_bayes(df.where(F.col(fold) != left_out), features, label)
+        test = df.where(F.col(fold) == left_out)
+        scored.append(accuracy(predict_bayes(test, model, features), label))
+    return union_all(scored).agg(rows().cast("int").alias("folds"), F.avg("exactitud").alias("exactitud_media"))

@@ -248,6 +248,29 @@ VIEWS: dict[str, str] = {
         SELECT b.id_producto, b.riesgo, m.clase,
                any_value(ln(m.prior)) + sum(-0.5 * ln(2 * pi() * m.varianza) - (b.x - m.media) ** 2 / (2 * m.varianza)) AS ll
         FROM bayes_largo b JOIN modelo m USING (feature) GROUP BY b.id_producto, b.riesgo, m.clase""",
+    "pliegue": f"""
+        SELECT *, CAST('0x' || substr(md5(id_producto || '-{P.SEED}'), 1, 8) AS BIGINT) % {P.FOLDS} AS fold,
+               CAST('0x' || substr(md5(id_producto || '-{P.SEED}'), 1, 8) AS BIGINT) % 100 < 70 AS es_entrenamiento
+        FROM bayes_largo""",
+    "ronda": f"""
+        SELECT r, id_producto, riesgo, feature, x, fold <> r AS aprende
+        FROM pliegue CROSS JOIN (SELECT unnest(range({P.FOLDS})) AS r)
+        UNION ALL
+        SELECT -1, id_producto, riesgo, feature, x, es_entrenamiento FROM pliegue""",
+    "ronda_modelo": """
+        SELECT *, var_clase + 1e-9 * max(var_total) OVER (PARTITION BY r) AS varianza,
+               n / sum(n) OVER (PARTITION BY r, feature) AS prior
+        FROM (SELECT r, riesgo AS clase, feature, CAST(count(*) AS DOUBLE) AS n, avg(x) AS media, var_pop(x) AS var_clase
+              FROM ronda WHERE aprende GROUP BY ALL)
+             JOIN (SELECT r, feature, var_pop(x) AS var_total FROM ronda WHERE aprende GROUP BY ALL) USING (r, feature)""",
+    "ronda_puntaje": """
+        SELECT d.r, d.id_producto, d.riesgo, m.clase,
+               any_value(ln(m.prior)) + sum(-0.5 * ln(2 * pi() * m.varianza) - (d.x - m.media) ** 2 / (2 * m.varianza)) AS ll
+        FROM ronda d JOIN ronda_modelo m USING (r, feature) WHERE NOT d.aprende GROUP BY ALL""",
+    "ronda_exactitud": """
+        SELECT r, count(*) AS n, avg(CAST(riesgo = clase AS INTEGER)) AS exactitud
+        FROM (SELECT r, id_producto, riesgo, arg_min(clase, (-ll, clase)) AS clase FROM ronda_puntaje GROUP BY ALL)
+        GROUP BY r""",
     "semanal": """
         SELECT g.i, g.semana_fin, coalesce(v.ventas, 0) AS ventas, coalesce(v.transacciones, 0) AS transacciones
         FROM (SELECT CAST(row_number() OVER (ORDER BY d) - 1 AS INTEGER) AS i, CAST(d AS DATE) AS semana_fin
@@ -679,6 +702,10 @@ SQL: dict[str, str] = {
         SELECT id_producto, riesgo, CAST(arg_min(clase, (-ll, clase)) AS INTEGER) AS prediccion,
                round(1 / sum(exp(ll - top)), 6) AS probabilidad
         FROM (SELECT *, max(ll) OVER (PARTITION BY id_producto) AS top FROM puntaje) GROUP BY id_producto, riesgo""",
+    "naive_bayes_accuracy": "SELECT n, round(exactitud, 6) AS exactitud FROM ronda_exactitud WHERE r = -1",
+    "naive_bayes_cv": """
+        SELECT CAST(count(*) AS INTEGER) AS folds, round(avg(exactitud), 6) AS exactitud_media
+        FROM ronda_exactitud WHERE r >= 0""",
     "weekly_sales": "SELECT i, semana_fin, ventas, transacciones FROM semanal",
     "seasonal_decompose": _decompose("semanal"),
     "seasonal_by_category": _decompose("semanal_categoria", "nombre_categoria"),

@@ -31,5 +31,6 @@ BRAND_SUPPORT = 0.02
 TYPE_SUPPORT = 0.03
 SEED = 42
 SAMPLE = 500
+FOLDS = 5
 
 ORDERS_RULE = 10  # orders below which the fixed churn rule predicts churn

@@ -533,6 +533,14 @@ def churn_forest(w):
     return churn.test_predictions(churn.fit_on_train(churn.forest(seed=P.SEED), frame), frame)
 
 
+@query
+def churn_report(w):
+    """Precision, recall and F1 of the forest on the test part."""
+    frame = churn.training_frame(_churn_features(w), seed=P.SEED)
+    scored = churn.test_predictions(churn.fit_on_train(churn.forest(seed=P.SEED), frame), frame)
+    return metrics.classification_metrics(scored, "churn", "prediccion")
+
+
 @query
 def churn_importance(w):
     frame = churn.training_frame(_churn_features(w), seed=P.SEED)
@@ -632,6 +640,22 @@ def naive_bayes_predict(w):
     return rounded(scored.select("id_producto", "riesgo", "prediccion", "probabilidad"), "probabilidad")
 
 
+@query
+def naive_bayes_accuracy(w):
+    """Fit on the training part, accuracy on the rest."""
+    frame = stored(churn.with_split(_bayes_frame(w), "id_producto", seed=P.SEED))
+    model = returns.fit_bayes(frame.where("es_entrenamiento"), P.BAYES_FEATURES, "riesgo")
+    test = frame.where(~F.col("es_entrenamiento"))
+    return rounded(returns.accuracy(returns.predict_bayes(test, model, P.BAYES_FEATURES), "riesgo"), "exactitud")
+
+
+@query
+def naive_bayes_cv(w):
+    frame = stored(churn.with_fold(_bayes_frame(w), "id_producto", P.FOLDS, P.SEED))
+    result = returns.cross_validate_bayes(frame, P.BAYES_FEATURES, "riesgo", "fold", P.FOLDS)
+    return rounded(result, "exactitud_media")
+
+
 # --- mining: series and correlation -----------------------------------------------
 
 
