@@ -64,7 +64,17 @@ def test_amount_per_customer(spark, orders, lines, rows):
     assert rows(out, "id_cliente", "monto_total") == [(10, 21.5), (11, 0.0)]
 
 
-def test_as_of_equals_the_definition(spark, orders, lines):
+@pytest.mark.parametrize("zone", ["UTC", "America/Bogota", "Asia/Tokyo"])
+def test_as_of_equals_the_definition(spark, orders, lines, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        _check_as_of(spark, orders, lines)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def _check_as_of(spark, orders, lines):
     customers = spark.createDataFrame([(10,), (11,), (12,)], "id_cliente BIGINT")
     cutoffs = [date(2023, 1, 1), date(2023, 1, 3), date(2023, 1, 5), date(2023, 1, 6)]
     found = {(r.id_cliente, r.corte): (r.recency, r.frecuencia, r.monto) for r in rfm.rfm_as_of(customers, orders, lines, cutoffs).collect()}

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime, time
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,7 +76,7 @@ def customer_activity(orders: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def _midnight(day: date) -> Column:
-    return F.lit(datetime.combine(day, time.min)).cast("timestamp_ntz")
+    return F.lit(day).cast("timestamp_ntz")
 
 
 def rfm_as_of(customers: DataFrame, orders: DataFrame, lines: DataFrame, cutoffs: Sequence[date]) -> DataFrame:
