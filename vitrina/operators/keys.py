@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from vitrina.session import stored
+from vitrina.session import local_table, stored
 
 MAX_LABELS = 10_000
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
@@ -47,4 +47,4 @@ def dense_rank_of_values(df: DataFrame, column: str, name: str, start: int = 0)
         return dense_keys(values, [column], name).withColumn(name, F.col(name) + (start - 1))
     ranked = [(label, rank) for rank, label in enumerate(found, start)]
     kind = values.schema[column].dataType.simpleString()
-    return df.sparkSession.createDataFrame(ranked, f"`{column}` {kind}, `{name}` BIGINT")
+    return local_table(df.sparkSession, ranked, {column: kind, name: "BIGINT"})

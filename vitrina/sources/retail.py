@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from vitrina.functions.dates import plus_hours
 from vitrina.functions.measures import UNIT, hundredths
 from vitrina.operators.keys import dense_rank_of_values
+from vitrina.session import local_table
 from vitrina.sources.readers import read_table
 from vitrina.sources.schemas import TABLES
 
@@ -31,9 +32,15 @@ PROMOTIONS = [
     (7, "VIP15", "Porcentaje", 15, date(1996, 7, 1), date(2001, 12, 31), True),
     (8, "ENVIOGRATIS", "Envío", 0, date(1999, 1, 1), date(2000, 6, 30), True),
 ]
-PROMOTION_SCHEMA = (
-    "id_promocion BIGINT, nombre STRING, tipo STRING, valor BIGINT, fecha_inicio DATE, fecha_fin DATE, activa BOOLEAN"
-)
+PROMOTION_COLUMNS = {
+    "id_promocion": "BIGINT",
+    "nombre": "STRING",
+    "tipo": "STRING",
+    "valor": "BIGINT",
+    "fecha_inicio": "DATE",
+    "fecha_fin": "DATE",
+    "activa": "BOOLEAN",
+}
 
 
 class Retail:
@@ -223,7 +230,7 @@ class Retail:
 
     @cached_property
     def promotions(self) -> DataFrame:
-        return self.spark.createDataFrame(PROMOTIONS, PROMOTION_SCHEMA)
+        return local_table(self.spark, PROMOTIONS, PROMOTION_COLUMNS)
 
     @cached_property
     def shipments(self) -> DataFrame:
