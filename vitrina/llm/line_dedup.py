@@ -69,7 +69,8 @@ def line_dedup(
     site = F.coalesce(F.concat(F.lit("="), F.col(site_column).cast("string")), F.lit("")).alias("site")
     docs = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), site)
     row = F.unhex(F.md5(F.concat_ws("\x00", F.col("doc_id").cast("string"), F.col("text"))))
-    lines = _lines(docs, row)
+    # Read by the sketches, the exact counts and the removal; hashing the lines costs more than storing the hashes.
+    lines = stored(_lines(docs, row), "lines")
     keys = boilerplate(lines, min_sites, margin, lg_k)
     removed = lines.join(keys, "key", "left_semi").groupBy("row").agg(F.collect_set("pos").alias("removed"))
     split = docs.select("doc_id", row.alias("row"), F.split("text", "\n").alias("lines"))
