@@ -34,11 +34,11 @@ def test_csv_with_quotes_and_nulls(spark, tmp_path):
     path = tmp_path / "p.csv"
     path.write_text(
         "id_promocion,nombre,tipo,valor,fecha_inicio,fecha_fin,categoria_aplica,activa\n"
-        '1,X,Fijo,50,2025-01-10,,"Laptops,Software",True\n',
+        '31,Y,Prueba,7,2019-04-02,,"Mesas,Sillas",True\n',
         encoding="utf-8",
     )
     row = read_csv(spark, str(path), FILES["promociones"]).head()
-    assert (row.categoria_aplica, row.fecha_fin, row.activa, row.valor) == ("Laptops,Software", None, True, 50)
+    assert (row.categoria_aplica, row.fecha_fin, row.activa, row.valor) == ("Mesas,Sillas", None, True, 7)
 
 
 def test_overwrite_replaces_and_counts(spark, tmp_path):

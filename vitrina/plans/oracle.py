@@ -9,12 +9,6 @@ from __future__ import annotations
 import re
 
 from vitrina.plans import parameters as P
-from vitrina.sources.retail import PROMOTIONS
-
-_values = ", ".join(
-    f"({i}, '{name}', '{kind}', {value}, DATE '{first}', DATE '{last}', {str(active).upper()})"
-    for i, name, kind, value, first, last, active in PROMOTIONS
-)
 _cutoffs = ", ".join(f"(DATE '{d}')" for d in P.CUTOFFS)
 _risky = ", ".join(f"'{c}'" for c in P.RISKY_CATEGORIES)
 
@@ -100,9 +94,16 @@ VIEWS: dict[str, str] = {
         FROM (SELECT l_partkey AS id_producto, year(l_shipdate) * 4 + quarter(l_shipdate) - 1 AS q,
                      max(floor(l_extendedprice / l_quantity * 100)) AS centavos
               FROM lineitem GROUP BY ALL)""",
-    "v_promocion": f"""
-        SELECT * FROM (VALUES {_values})
-            AS t(id_promocion, nombre, tipo, valor, fecha_inicio, fecha_fin, activa)""",
+    "v_promocion": """
+        SELECT s_suppkey AS id_promocion, 'Oferta ' || s_name AS nombre,
+               CASE WHEN s_suppkey % 3 = 0 THEN 'Fijo' ELSE 'Porcentaje' END AS tipo,
+               s_suppkey % 17 + 3 AS valor,
+               DATE '1995-01-01' + CAST(CASE WHEN s_suppkey % 100 IN (7, 9) THEN 2000 + s_suppkey % 300
+                                             ELSE s_suppkey * 37 % 2400 END AS INTEGER) AS fecha_inicio,
+               CASE s_suppkey % 100 WHEN 7 THEN NULL WHEN 9 THEN DATE '9999-12-31'
+                    ELSE DATE '1995-01-01' + CAST(s_suppkey * 37 % 2400 + s_suppkey % 21 AS INTEGER) END AS fecha_fin,
+               s_suppkey % 4 <> 0 AS activa
+        FROM supplier""",
     # --- star -----------------------------------------------------------------
     "dim_tiempo": """
         SELECT row_number() OVER (ORDER BY d) AS id_tiempo, CAST(d AS DATE) AS fecha,
@@ -450,7 +451,8 @@ def _scd_product(strict: bool) -> str:
 
 _promo = """
         SELECT id_orden, fecha_orden, CAST(id_promocion AS BIGINT) AS id_promocion, tipo, CAST(valor AS BIGINT) AS valor, fecha_inicio, fecha_fin
-        FROM v_orden JOIN v_promocion ON fecha_orden BETWEEN fecha_inicio AND fecha_fin WHERE activa"""
+        FROM v_orden JOIN v_promocion ON fecha_orden >= fecha_inicio AND (fecha_orden <= fecha_fin OR fecha_fin IS NULL)
+        WHERE activa"""
 VIEWS["promo"] = _promo
 VIEWS["regla_fija"] = f"""
         SELECT CAST(recency > 180 AS INTEGER) AS y, CAST(frecuencia < {P.ORDERS_RULE} AS INTEGER) AS p FROM dim_cliente"""

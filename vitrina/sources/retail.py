@@ -15,32 +15,13 @@ from pyspark.sql import functions as F
 from vitrina.functions.dates import plus_hours
 from vitrina.functions.measures import UNIT, hundredths
 from vitrina.operators.keys import dense_rank_of_values
-from vitrina.session import local_table
 from vitrina.sources.readers import read_table
 from vitrina.sources.schemas import TABLES
 
 ZONES = ["Centro", "Norte", "Occidente", "Oriente"]
 
-# Promotion windows over the order dates: id, name, type, value, first day, last day, active.
-PROMOTIONS = [
-    (1, "BLACKFRIDAY", "Porcentaje", 20, date(1996, 11, 25), date(1996, 11, 30), False),
-    (2, "CYBERMONDAY", "Porcentaje", 15, date(1997, 12, 1), date(1997, 12, 1), False),
-    (3, "REGRESOACLASES", "Fijo", 50, date(1998, 1, 10), date(1998, 2, 5), True),
-    (4, "DIADELPADRE", "Porcentaje", 10, date(1999, 6, 10), date(1999, 6, 15), True),
-    (5, "ANIVERSARIO", "Porcentaje", 25, date(2000, 3, 1), date(2000, 3, 15), False),
-    (6, "BIENVENIDA10", "Porcentaje", 10, date(1995, 1, 1), date(1997, 12, 31), True),
-    (7, "VIP15", "Porcentaje", 15, date(1996, 7, 1), date(2001, 12, 31), True),
-    (8, "ENVIOGRATIS", "Envío", 0, date(1999, 1, 1), date(2000, 6, 30), True),
-]
-PROMOTION_COLUMNS = {
-    "id_promocion": "BIGINT",
-    "nombre": "STRING",
-    "tipo": "STRING",
-    "valor": "BIGINT",
-    "fecha_inicio": "DATE",
-    "fecha_fin": "DATE",
-    "activa": "BOOLEAN",
-}
+# First day of the promotion windows.
+PROMOTIONS_FROM = date(1995, 1, 1)
 
 
 class Retail:
@@ -230,7 +211,24 @@ class Retail:
 
     @cached_property
     def promotions(self) -> DataFrame:
-        return local_table(self.spark, PROMOTIONS, PROMOTION_COLUMNS)
+        """One per supplier, for up to three weeks; some have no end, some end in the far future."""
+        key = F.col("s_suppkey")
+        late = F.pmod(key, F.lit(100)).isin(7, 9)
+        day = F.when(late, 2000 + key % 300).otherwise(key * 37 % 2400)
+        start = F.date_add(F.lit(PROMOTIONS_FROM), day.cast("int"))
+        end = (
+            F.when(F.pmod(key, F.lit(100)) == 9, F.lit(date(9999, 12, 31)))
+            .when(~late, F.date_add(start, (key % 21).cast("int")))
+        )
+        return self.raw("supplier").select(
+            key.alias("id_promocion"),
+            F.concat(F.lit("Oferta "), "s_name").alias("nombre"),
+            F.when(key % 3 == 0, "Fijo").otherwise("Porcentaje").alias("tipo"),
+            (key % 17 + 3).cast("long").alias("valor"),
+            start.alias("fecha_inicio"),
+            end.alias("fecha_fin"),
+            (key % 4 != 0).alias("activa"),
+        )
 
     @cached_property
     def shipments(self) -> DataFrame:
