@@ -123,3 +123,16 @@ def test_stored_frame_keeps_its_schema(spark):
     again = session.stored(df)
     assert again.schema == df.schema
     assert sorted(map(repr, again.collect())) == sorted(map(repr, df.collect()))
+
+
+def test_export_goes_on_after_a_damaged_file(spark, tmp_path):
+    good, bad = str(tmp_path / "good"), tmp_path / "bad"
+    spark.range(4).write.parquet(good)
+    bad.mkdir()
+    (bad / "part-0.parquet").write_bytes(b"PAR1 this is no parquet file PAR1")
+    tables = {
+        "bad": lambda: spark.read.schema("id BIGINT").parquet(str(bad)),
+        "good": lambda: spark.read.parquet(good),
+    }
+    log = {row[0]: row for row in export_csv(spark, tables, str(tmp_path / "out")).collect()}
+    assert log["good"][1] == 4 and log["bad"][1] is None and log["bad"][2]

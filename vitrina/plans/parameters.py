@@ -9,13 +9,10 @@ DRILL_CATEGORY = "PROMO"
 DICE = {"nombre_categoria": "LARGE", "ciudad_tienda": "NATION_3", "anio": 1997}
 
 VIP_AMOUNT = 1_500_000
+# Snapshots: the end of the first month, then every half-year end up to the one after the last order.
 CUTOFFS = [
     date(1995, 1, 31),
-    date(1995, 6, 30),
-    date(1995, 12, 31),
-    date(1996, 6, 30),
-    date(1996, 12, 31),
-    date(1997, 6, 30),
+    *(date(year, month, day) for year in range(1995, 2002) for month, day in ((6, 30), (12, 31))),
 ]
 FIRST_DAY = date(1995, 1, 1)
 AUDIT_DAY = date(2001, 12, 31)

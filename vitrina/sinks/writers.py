@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,6 +69,8 @@ def export_csv(
             log.append((name, df.count(), None))
         except PySparkException as problem:
             log.append((name, None, problem.getCondition() or type(problem).__name__))
+        except Py4JJavaError as problem:  # a task failed, for example on a damaged file
+            log.append((name, None, problem.java_exception.getClass().getSimpleName()))
     return spark.createDataFrame(log, EXPORT_LOG)
 
 
