@@ -36,10 +36,19 @@ def test_money_total_is_exact(spark, units):
     assert found == float(Decimal(sum(units)) / 10_000)
 
 
-def test_sum_of_units_beyond_a_long(spark):
-    big = 2**62
-    df = spark.createDataFrame([(big,), (big,), (big,), (1,)], "x BIGINT")
-    assert one(df.agg(measures.sum_units("x"))) == float(3 * big + 1)
+def test_small_and_large_amounts_are_kept(spark):
+    small = spark.createDataFrame([(0.00004,)] * 10 + [(0.000001,)], "x DOUBLE")
+    assert one(small.agg(measures.total("x"))) == 0.000401
+    large = spark.createDataFrame([(1e16,), (1e16,), (0.5,), (-1e16,)], "x DOUBLE")
+    for parts in (1, 2, 4):
+        assert one(large.repartition(parts).agg(measures.total("x"))) == 1e16
+        assert one(large.repartition(parts).agg(measures.exact_sum("x"))) == Decimal("10000000000000000.5")
+
+
+def test_total_cost_of_large_amounts(spark):
+    df = spark.createDataFrame([(1e16, 40), (0.00004, 50), (3.0, 100), (None, 1)], "x DOUBLE, m INT")
+    assert one(df.agg(measures.total_cost("x", "m"))) == pytest.approx(6e15, rel=1e-15)
+    assert one(df.where("x < 1").agg(measures.total_cost("x", "m"))) == 0.00002
 
 
 def test_total_of_nothing_is_zero_and_mean_is_null(spark):

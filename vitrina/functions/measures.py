@@ -1,7 +1,8 @@
 """Column expressions for money, ratios and rounding.
 
-Money is stored as doubles and summed exactly, so a total is the same for any
-partitioning; ratios are plain doubles.  Rounding is half-even throughout.
+Money is summed as ``SUM`` decimals, so a total is the same for any partitioning and keeps
+ten decimals up to 1e28; one amount may have 18 digits before the point.  Ratios are plain
+doubles.  Rounding is half-even throughout.
 """
 
 from __future__ import annotations
@@ -10,8 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MILLION = 1_000_000
-UNIT = 10_000
-LOW_BITS = 20
+MONEY, SUM = "decimal(28,10)", "decimal(38,10)"
 
 
 def col(c: Column | str) -> Column:
@@ -23,39 +23,22 @@ def hundredths(value: Column | str) -> Column:
     return F.rint(col(value) * 100).cast("long")
 
 
-def units(value: Column | str) -> Column:
-    """An amount with at most four decimals as whole ten-thousandths.
+def exact_sum(value: Column | str) -> Column:
+    """Sum of money as a decimal; null when there is no value.
 
-    Exact below 9e11; a long is far cheaper to add up than a decimal.
+    Further sums of it stay decimals; cast to double in the last projection.
     """
-    return F.rint(col(value) * UNIT).cast("long")
-
-
-def sum_units(value: Column | str) -> Column:
-    """Exact sum of longs that may exceed a long.
-
-    High and low bits are summed apart as plain longs and put together once per
-    group, so the total does not depend on row order and cannot overflow.
-    """
-    v = col(value)
-    high = F.sum(F.shiftright(v, LOW_BITS)).cast("decimal(20,0)")
-    low = F.sum(v.bitwiseAND(F.lit((1 << LOW_BITS) - 1))).cast("decimal(20,0)")
-    return (high * F.lit(1 << LOW_BITS).cast("decimal(10,0)") + low).cast("double")
+    return F.sum(col(value).cast(SUM))
 
 
 def total(value: Column | str) -> Column:
-    """Sum of money; 0 when every value is null."""
-    return F.coalesce(sum_units(units(value)) / UNIT, F.lit(0.0))
+    """Sum of money or of rates as a double; 0 when every value is null."""
+    return F.coalesce(exact_sum(value).cast("double"), F.lit(0.0))
 
 
 def mean(value: Column | str) -> Column:
     """Mean of money from the exact sum; null when there is no value."""
-    return F.try_divide(sum_units(units(value)) / UNIT, F.count(col(value)))
-
-
-def rate_sum(value: Column | str) -> Column:
-    """Sum of rates with up to four decimals (a discount rate, not an amount)."""
-    return F.coalesce(F.sum(units(value)) / UNIT, F.lit(0.0))
+    return F.try_divide(exact_sum(value).cast("double"), F.count(col(value)))
 
 
 def rows() -> Column:
@@ -96,7 +79,8 @@ def guarded_margin_pct(price: Column | str, cost: Column | str) -> Column:
 
 def total_cost(amount: Column | str, margin: Column | str) -> Column:
     """Sum of amounts without their whole-percent margins."""
-    return F.coalesce(sum_units(units(amount) * (100 - col(margin))) / (UNIT * 100), F.lit(0.0))
+    kept = col(amount).cast(MONEY) * (100 - col(margin)).cast("decimal(4,0)")
+    return F.coalesce(exact_sum(kept).cast("double") / 100, F.lit(0.0))
 
 
 def line_subtotal(price: Column | str, quantity: Column | str, discount: Column | str, decimals: int = 0) -> Column:

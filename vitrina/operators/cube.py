@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrina.functions.measures import mean, rate_sum, rows, total
+from vitrina.functions.measures import mean, rows, total
 from vitrina.operators.facts import order_detail
 
 PRODUCT = ["id_producto", "id_categoria", "categoria"]
@@ -53,7 +53,7 @@ def _common() -> list[Column]:
     return [
         F.sum("cantidad").alias("cantidad_vendida"),
         total("subtotal").alias("ventas_totales"),
-        rate_sum("descuento").alias("descuento_total"),
+        total("descuento").alias("descuento_total"),
         F.countDistinct("id_orden").alias("transacciones"),
         mean("subtotal").alias("ticket_promedio"),
     ]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrina.functions.dates import elapsed_days
-from vitrina.functions.measures import rows, total
+from vitrina.functions.measures import exact_sum, rows, total
 from vitrina.functions.rules import NO_ORDER_RECENCY
 
 
@@ -29,8 +29,8 @@ def rfm_base(orders: DataFrame) -> DataFrame:
 
 
 def order_amounts(lines: DataFrame) -> DataFrame:
-    """Exact amount per order; one row per order leaves the line table."""
-    return lines.groupBy("id_orden").agg(total("subtotal").alias("monto"))
+    """Exact amount per order, a decimal; one row per order leaves the line table."""
+    return lines.groupBy("id_orden").agg(exact_sum("subtotal").alias("monto"))
 
 
 def customer_monetary(rfm: DataFrame, orders: DataFrame, lines: DataFrame) -> DataFrame:
@@ -51,7 +51,7 @@ def customer_activity(orders: DataFrame, lines: DataFrame) -> DataFrame:
     to one row per customer.
     """
     per_order = lines.groupBy("id_orden").agg(
-        total("subtotal").alias("monto"),
+        exact_sum("subtotal").alias("monto"),
         rows().alias("lineas"),
         F.sum(F.col("devuelto").cast("int")).alias("devueltas"),
     )

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrina.functions.dates import plus_hours
-from vitrina.functions.measures import UNIT, hundredths
+from vitrina.functions.measures import hundredths
 from vitrina.operators.keys import dense_rank_of_values
 from vitrina.sources.readers import read_table
 from vitrina.sources.schemas import TABLES
@@ -175,7 +175,7 @@ class Retail:
 
     @cached_property
     def order_lines(self) -> DataFrame:
-        """``subtotal`` is computed in whole ten-thousandths, so it carries no rounding noise."""
+        """``subtotal``, price by (1 - discount), is computed in whole ten-thousandths: it carries no rounding noise."""
         net = hundredths("l_extendedprice") * (100 - hundredths("l_discount"))
         return self.raw("lineitem").select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id_detalle"),
@@ -185,7 +185,7 @@ class Retail:
             F.col("l_quantity").cast("long").alias("cantidad"),
             (F.col("l_extendedprice") / F.col("l_quantity")).alias("precio_unitario"),
             F.col("l_discount").alias("descuento"),
-            (net.cast("double") / UNIT).alias("subtotal"),
+            (net.cast("double") / 10_000).alias("subtotal"),
             (F.col("l_returnflag") == "R").alias("devuelto"),
         )
 
