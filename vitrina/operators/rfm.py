@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from vitrina.functions.dates import elapsed_days
 from vitrina.functions.measures import exact_sum, rows, total
@@ -75,44 +76,45 @@ def customer_activity(orders: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
-def _midnight(day: date) -> Column:
-    return F.lit(day).cast("timestamp_ntz")
-
-
 def rfm_as_of(customers: DataFrame, orders: DataFrame, lines: DataFrame, cutoffs: Sequence[date]) -> DataFrame:
     """RFM of every customer at midnight of every cutoff date.
 
-    One pass: each order is reduced to its amount, then each customer to one
-    row with the running values of all cutoffs (combined on the map side), and
-    only that row is unfolded.  ``orders`` holds one row per order.  Customers
-    without an order up to a cutoff get recency 999 and zeros.
+    Each order is reduced to its amount and to the first cutoff that sees it, then each
+    customer to one row per such cutoff (combined on the map side); running values over
+    those rows and one marker per cutoff give the snapshots.  A customer's window has at
+    most two rows per cutoff, and the plan is the same for any number of cutoffs.  Repeated
+    order rows count once.  Customers without an order up to a cutoff get recency 999 and zeros.
     """
     cutoffs = sorted(cutoffs)
-    priced = orders.where(F.col("fecha_orden") <= _midnight(cutoffs[-1])).join(
-        order_amounts(lines), "id_orden", "left"
+    days = F.array(*map(F.lit, cutoffs))
+    first = F.size(F.filter(days, lambda day: day.cast("timestamp_ntz") < F.col("fecha_orden")))
+    once = (
+        orders.where(F.col("id_cliente").isNotNull() & F.col("fecha_orden").isNotNull())
+        .select("id_orden", "id_cliente", "fecha_orden", first.alias("corte_n"))
+        .where(F.col("corte_n") < len(cutoffs))
+        .join(order_amounts(lines), "id_orden", "left")
+        .groupBy("id_orden", "id_cliente")
+        .agg(F.max("fecha_orden").alias("fecha"), F.max("corte_n").alias("corte_n"), F.max("monto").alias("monto"))
     )
-    measures = []
-    for i, cutoff in enumerate(cutoffs):
-        seen = F.col("fecha_orden") <= _midnight(cutoff)
-        measures += [
-            F.max(F.when(seen, F.col("fecha_orden"))).alias(f"ultima_{i}"),
-            F.count(F.when(seen, F.col("id_orden"))).alias(f"frecuencia_{i}"),
-            total(F.when(seen, F.col("monto"))).alias(f"monto_{i}"),
-        ]
-    per_customer = priced.groupBy("id_cliente").agg(*measures)
-    snapshots = [
-        F.struct(
-            F.lit(cutoff).alias("corte"),
-            F.coalesce(elapsed_days(f"ultima_{i}", _midnight(cutoff)), F.lit(NO_ORDER_RECENCY)).alias("recency"),
-            F.coalesce(F.col(f"frecuencia_{i}"), F.lit(0)).alias("frecuencia"),
-            F.coalesce(f"monto_{i}", F.lit(0.0)).alias("monto"),
-        )
-        for i, cutoff in enumerate(cutoffs)
-    ]
+    seen = once.groupBy("id_cliente", "corte_n").agg(
+        F.max("fecha").alias("fecha"), rows().alias("n"), F.sum("monto").alias("monto")
+    )
+    markers = customers.select("id_cliente", F.posexplode(days).alias("corte_n", "corte"))
+    until = W.partitionBy("id_cliente").orderBy("corte_n").rangeBetween(W.unboundedPreceding, W.currentRow)
+    elapsed = elapsed_days("ultima", F.col("corte").cast("timestamp_ntz"))
     return (
-        customers.select("id_cliente")
-        .join(per_customer, "id_cliente", "left")
-        .select("id_cliente", F.inline(F.array(*snapshots)))
+        markers.unionByName(seen, allowMissingColumns=True)
+        .select(
+            "id_cliente",
+            "corte",
+            F.max("fecha").over(until).alias("ultima"),
+            F.coalesce(F.sum("n").over(until), F.lit(0)).alias("frecuencia"),
+            F.coalesce(F.sum("monto").over(until).cast("double"), F.lit(0.0)).alias("monto"),
+        )
+        .where(F.col("corte").isNotNull())
+        .select(
+            "id_cliente", "corte", F.coalesce(elapsed, F.lit(NO_ORDER_RECENCY)).alias("recency"), "frecuencia", "monto"
+        )
     )
 
 
