@@ -115,11 +115,27 @@ def test_dense_keys_follow_the_order(spark, partitions):
     assert [(r.k, r.id) for r in found] == sorted((r.k, r.id) for r in found)
 
 
-def test_label_codes_both_ways(spark, rows, monkeypatch):
-    df = spark.createDataFrame([("b",), ("a",), (None,), ("b",), ("Z",)], "c STRING")
-    local = rows(keys.dense_rank_of_values(df, "c", "n"))
-    monkeypatch.setattr(keys, "MAX_LABELS", 1)
-    assert rows(keys.dense_rank_of_values(df, "c", "n"), "c", "n") == local == [("Z", 0), ("a", 1), ("b", 2)]
+def test_label_codes(spark, rows):
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("b",), ("Z",), ("",), ("ab",), ("abc",), ("abd",)], "c STRING")
+    found = rows(keys.dense_rank_of_values(df, "c", "n"), "c", "n")
+    assert found == [("", 0), ("Z", 1), ("a", 2), ("ab", 3), ("abc", 4), ("abd", 5), ("b", 6)]
+
+
+def test_many_labels_without_a_job_while_planning(spark):
+    labels = [f"{i * 7919 % 20_000:05d}" for i in range(20_000)]
+    df = spark.createDataFrame([(label,) for label in labels], "c STRING")
+    spark.sparkContext.setJobGroup("plan", "labels")
+    ranked = keys.dense_rank_of_values(df, "c", "n", start=1)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plan")
+    spark.sparkContext.setJobGroup("run", "labels")
+    assert ranked.where("n <> int(c) + 1").isEmpty() and ranked.count() == 20_000
+
+
+def test_repeated_orders_count_once(spark, lines, orders):
+    people = orders.select("id_cliente").distinct()
+    cutoffs = [date(2030, 1, 1)]
+    once = rfm.rfm_as_of(people, orders, lines, cutoffs)
+    assert rfm.rfm_as_of(people, orders.union(orders), lines, cutoffs).exceptAll(once).isEmpty()
 
 
 def test_fact_keeps_each_line_once_and_star_names_both_cities(spark, orders, lines, rows):

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from vitrina.session import local_table, stored
+from vitrina.session import stored
 
-MAX_LABELS = 10_000
+PREFIX = 2
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
 
@@ -37,14 +37,16 @@ def dense_keys(df: DataFrame, order: Sequence[Column | str], name: str) -> DataF
 def dense_rank_of_values(df: DataFrame, column: str, name: str, start: int = 0) -> DataFrame:
     """Distinct values of a label with their alphabetical rank.
 
-    A vocabulary of up to ``MAX_LABELS`` labels becomes a local table, so Spark
-    knows its size and joins with it stay on the map side; a larger one is
-    numbered by ``dense_keys``.
+    Labels are numbered inside their first ``PREFIX`` characters, and the number of labels
+    with a smaller prefix is added: no task sees more than one prefix, and no job runs
+    before the result is used.
     """
     values = df.select(column).where(F.col(column).isNotNull()).distinct()
-    found = [row[0] for row in values.orderBy(column).limit(MAX_LABELS + 1).collect()]
-    if len(found) > MAX_LABELS:
-        return dense_keys(values, [column], name).withColumn(name, F.col(name) + (start - 1))
-    ranked = [(label, rank) for rank, label in enumerate(found, start)]
-    kind = values.schema[column].dataType.simpleString()
-    return local_table(df.sparkSession, ranked, {column: kind, name: "BIGINT"})
+    values = values.withColumn("_prefix", F.substring(column, 1, PREFIX))
+    # One row per prefix reaches this window.
+    earlier = W.orderBy("_prefix").rowsBetween(W.unboundedPreceding, -1)
+    sizes = values.groupBy("_prefix").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select("_prefix", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(W.partitionBy("_prefix").orderBy(column))
+    numbered = values.withColumn("_row", inside).join(offsets, "_prefix")
+    return numbered.select(column, (F.col("_before") + F.col("_row") + (start - 1)).alias(name))

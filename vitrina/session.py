@@ -9,7 +9,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime options that keep the plans below safe on skewed keys.
@@ -54,15 +53,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/vitrina/{uuid.uuid4().hex}/{name}"
 
 
-def local_table(spark: SparkSession, rows: list[tuple], columns: dict[str, str]) -> DataFrame:
-    """A small table as a local relation, so Spark knows its size when it picks a join."""
-    schema = ", ".join(f"`{name}` {kind}" for name, kind in columns.items())
-    if not rows:
-        return spark.createDataFrame([], schema)
-    values = [list(column) for column in zip(*rows, strict=True)]
-    return spark.createDataFrame(pa.table(values, names=list(columns)), schema)
-
-
 def stored(df: DataFrame, name: str = "etapa") -> DataFrame:
     """The frame as a table written to the shared folder.
 
