@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from vitrina.plans import oracle, registry
 from vitrina.sources.schemas import TABLES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -53,7 +54,7 @@ def test_entry_has_rows(spark):
 
 
 def test_only_model_fits_lack_sql():
-    without = set(entry_points.queries()) - set(entry_points.oracle_sql())
+    without = set(registry.QUERIES) - set(oracle.oracle_sql())
     assert without == {
         "kmeans_elbow", "kmeans_segments", "cluster_profile", "churn_forest", "churn_importance", "churn_report",
         "churn_tree", "churn_cv",

@@ -9,9 +9,9 @@ from pyspark.ml import Model
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from vitrina.functions.measures import ratio, rows
 from vitrina.functions.rules import CHURN_DAYS, NO_ORDER_RECENCY, churned, stable_hash
@@ -21,6 +21,7 @@ from vitrina.session import stored
 
 FEATURES = ["recency", "frecuencia", "monto_total", "tasa_devolucion", "dias_desde_registro"]
 LEAKY = ["recency"]  # the label is a threshold on it
+BUCKET_BITS = 10
 
 
 def churn_label(customers: DataFrame, days: int = CHURN_DAYS) -> DataFrame:
@@ -54,9 +55,20 @@ def with_split(df: DataFrame, key: str, train_pct: int = 70, seed: int = 42) ->
     return df.withColumn("es_entrenamiento", stable_hash(key, seed) % 100 < train_pct)
 
 
-def with_fold(df: DataFrame, key: str, folds: int = 5, seed: int = 42) -> DataFrame:
-    """Adds ``fold``; a hash fold holds every class in its natural share."""
-    return df.withColumn("fold", (stable_hash(key, seed) % folds).cast("int"))
+def with_fold(df: DataFrame, key: str, label: str, folds: int = 5, seed: int = 42) -> DataFrame:
+    """Adds ``fold``: the rows of a class, in hashed order, are dealt to the folds in turn.
+
+    Rows are numbered inside buckets of the hash, so a class is no single task.
+    """
+    hashed = df.withColumn("_hash", stable_hash(key, seed)).withColumn("_bucket", F.shiftright("_hash", 32 - BUCKET_BITS))
+    sizes = hashed.groupBy(label, "_bucket").agg(rows().alias("_n"))
+    # At most 2 ** BUCKET_BITS rows per class reach this window and the broadcast.
+    earlier = W.partitionBy(label).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select(label, "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(W.partitionBy(label, "_bucket").orderBy("_hash", key))
+    numbered = hashed.withColumn("_row", inside).join(F.broadcast(offsets), [label, "_bucket"])
+    fold = (F.col("_before") + F.col("_row") - 1) % folds
+    return numbered.withColumn("fold", fold.cast("int")).drop("_hash", "_bucket", "_row", "_before")
 
 
 def with_balanced_weight(df: DataFrame, label: str) -> DataFrame:
@@ -86,21 +98,23 @@ def feature_list(exclude_leaky: bool = False) -> list[str]:
 
 
 def training_frame(features: DataFrame, exclude_leaky: bool = False, seed: int = 42) -> DataFrame:
-    """Split, weighted and assembled features, computed once for all passes of a model."""
-    weighted = with_balanced_weight(with_split(stored(features), "id_cliente", seed=seed), "churn")
-    return feature_vectors(stored(weighted), feature_list(exclude_leaky))
+    """Split and assembled features, computed once for all passes of a model."""
+    return feature_vectors(with_split(stored(features), "id_cliente", seed=seed), feature_list(exclude_leaky))
 
 
-def fit_on_train(
-    estimator: RandomForestClassifier | DecisionTreeClassifier, frame: DataFrame
-) -> Model:
-    train = frame.where("es_entrenamiento").persist(StorageLevel.MEMORY_AND_DISK)
+def fit(estimator: RandomForestClassifier | DecisionTreeClassifier, train: DataFrame, label: str = "churn") -> Model:
+    """Fit on ``train``, balanced over its own classes."""
+    train = with_balanced_weight(train, label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return estimator.fit(train)
     finally:
         train.unpersist()
 
 
+def fit_on_train(estimator: RandomForestClassifier | DecisionTreeClassifier, frame: DataFrame) -> Model:
+    return fit(estimator, frame.where("es_entrenamiento"))
+
+
 def test_predictions(model: Model, frame: DataFrame) -> DataFrame:
     scored = model.transform(frame.where(~F.col("es_entrenamiento")))
     return scored.select(
@@ -129,16 +143,24 @@ def tree_rules(model: Model, features: Sequence[str], frame: DataFrame) -> DataF
     return frame.sparkSession.createDataFrame(named, "linea INT, regla STRING")
 
 
-def cross_validate(estimator: object, frame: DataFrame, label: str, key: str, folds: int = 5, seed: int = 42) -> DataFrame:
-    """Mean accuracy over hash folds."""
-    folded = with_fold(frame, key, folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
+def cross_validate(
+    estimator: RandomForestClassifier | DecisionTreeClassifier,
+    frame: DataFrame,
+    label: str,
+    key: str,
+    folds: int = 5,
+    seed: int = 42,
+) -> DataFrame:
+    """Mean accuracy over stratified folds; each fit weighs the classes of its own rows."""
+    folded = with_fold(frame, key, label, folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
     evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
-    validator = CrossValidator(
-        estimator=estimator, estimatorParamMaps=ParamGridBuilder().build(), evaluator=evaluator,
-        numFolds=folds, foldCol="fold",
-    )
     try:
-        accuracy = float(validator.fit(folded).avgMetrics[0])
+        found = [
+            evaluator.evaluate(fit(estimator, folded.where(F.col("fold") != left_out), label).transform(held_out))
+            for left_out in range(folds)
+            if not (held_out := folded.where(F.col("fold") == left_out)).isEmpty()
+        ]
     finally:
         folded.unpersist()
+    accuracy = sum(found) / len(found) if found else None
     return frame.sparkSession.createDataFrame([(folds, accuracy)], "folds INT, exactitud_media DOUBLE")

@@ -17,6 +17,8 @@ from vitrina.functions.measures import rows
 from vitrina.session import stored
 
 RFM = ("recency", "frecuencia", "monto_total")
+# Starts and iterations of the existing segmentation.
+STARTS, ITERATIONS = 10, 300
 ELBOW = "k INT, inercia DOUBLE, silueta DOUBLE, metrica STRING"
 
 
@@ -50,9 +52,9 @@ def feature_vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol="features").transform(df)
 
 
-def fit_best(vectors: DataFrame, k: int, seed: int = 42, restarts: int = 3) -> KMeansModel:
+def fit_best(vectors: DataFrame, k: int, seed: int = 42, restarts: int = STARTS) -> KMeansModel:
     """The lowest-cost model of several k-means|| starts."""
-    models = [KMeans(k=k, seed=seed + i, maxIter=100).fit(vectors) for i in range(restarts)]
+    models = [KMeans(k=k, seed=seed + i, maxIter=ITERATIONS).fit(vectors) for i in range(restarts)]
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
@@ -62,7 +64,7 @@ def scaled_vectors(customers: DataFrame) -> DataFrame:
 
 
 def elbow(
-    customers: DataFrame, ks: Sequence[int] = range(2, 11), seed: int = 42, restarts: int = 3, parallelism: int = 4
+    customers: DataFrame, ks: Sequence[int] = range(2, 11), seed: int = 42, restarts: int = STARTS, parallelism: int = 4
 ) -> DataFrame:
     """Inertia and silhouette (squared Euclidean, linear cost) per number of clusters.
 
@@ -89,7 +91,7 @@ def best_k(elbow_table: DataFrame) -> DataFrame:
     return elbow_table.agg(F.max_by("k", "silueta").alias("k"), F.max("silueta").alias("silueta"))
 
 
-def segments(customers: DataFrame, k: int = 4, seed: int = 42, restarts: int = 3) -> DataFrame:
+def segments(customers: DataFrame, k: int = 4, seed: int = 42, restarts: int = STARTS) -> DataFrame:
     """Customer with its cluster; clusters are numbered from 0 by descending mean amount."""
     vectors = scaled_vectors(customers).persist(StorageLevel.MEMORY_AND_DISK)
     try:

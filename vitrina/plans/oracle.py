@@ -250,9 +250,9 @@ VIEWS: dict[str, str] = {
                any_value(ln(m.prior)) + sum(-0.5 * ln(2 * pi() * m.varianza) - (b.x - m.media) ** 2 / (2 * m.varianza)) AS ll
         FROM bayes_largo b JOIN modelo m USING (feature) GROUP BY b.id_producto, b.riesgo, m.clase""",
     "pliegue": f"""
-        SELECT *, CAST('0x' || substr(md5(id_producto || '-{P.SEED}'), 1, 8) AS BIGINT) % {P.FOLDS} AS fold,
-               CAST('0x' || substr(md5(id_producto || '-{P.SEED}'), 1, 8) AS BIGINT) % 100 < 70 AS es_entrenamiento
-        FROM bayes_largo""",
+        SELECT l.*, (row_number() OVER (PARTITION BY riesgo, feature ORDER BY h, id_producto) - 1) % {P.FOLDS} AS fold,
+               h % 100 < 70 AS es_entrenamiento
+        FROM (SELECT *, CAST('0x' || substr(md5(id_producto || '-{P.SEED}'), 1, 8) AS BIGINT) AS h FROM bayes_largo) l""",
     "ronda": f"""
         SELECT r, id_producto, riesgo, feature, x, fold <> r AS aprende
         FROM pliegue CROSS JOIN (SELECT unnest(range({P.FOLDS})) AS r)
