@@ -88,6 +88,11 @@ def test_cube_levels_agree(detail):
     assert found[1][1] == found[2][1] == found[3][1] == known
 
 
+def test_reconcile_of_large_amounts(detail):
+    found = {r.nivel: r.ventas_totales for r in cube.cube_reconcile(detail.withColumn("subtotal", F.col("subtotal") * 1e13)).collect()}
+    assert found[0] == found[4] == 1e13 * sum(7.25 * (i + 1) for i in range(60))
+
+
 def test_grouping_sets_equal_the_single_levels(detail, rows):
     known = detail.where("id_categoria IS NOT NULL")
     together = cube.cube_grouping_sets(known)
@@ -154,8 +159,8 @@ def test_constant_series_has_no_correlation(spark):
         [(2020, m, c, v) for m in range(1, 6) for c, v in (("A", float(m * m)), ("B", 3.0), ("C", -1.0 * m))],
         "anio INT, mes INT, nombre_categoria STRING, subtotal DOUBLE",
     )
-    matrix = correlation.monthly_matrix(star, ["A", "B", "C"])
-    pairs = correlation.correlation_matrix(matrix, ["A", "B", "C", "total_ventas"])
+    names = spark.createDataFrame([("A",), ("B",), ("C",)], "nombre STRING")
+    pairs = correlation.correlation_matrix(correlation.monthly_cells(correlation.monthly_sales(star), names))
     found = {(r.a, r.b): r.correlacion for r in pairs.collect()}
     a, c = [m * m for m in range(1, 6)], [-m for m in range(1, 6)]
     assert found["A", "C"] == pytest.approx(np.corrcoef(a, c)[0][1])
@@ -298,6 +303,15 @@ def test_churn_models(spark):
     assert any("recency" in r.regla for r in churn.tree_rules(tree, churn.feature_list(), frame).collect())
     assert churn.cross_validate(churn.tree(), frame, "churn", "id_cliente").head().exactitud_media > 0.95
     assert churn.feature_list(exclude_leaky=True) == ["frecuencia", "monto_total", "tasa_devolucion", "dias_desde_registro"]
-    weights = {r.churn: r.peso for r in frame.select("churn", "peso").distinct().collect()}
-    positives = sum(d[-1] for d in data)
-    assert weights[1] == pytest.approx(400 / (2 * positives))
+    train = frame.where("es_entrenamiento")
+    weights = {r.churn: r.peso for r in churn.with_balanced_weight(train, "churn").select("churn", "peso").distinct().collect()}
+    assert weights[1] == pytest.approx(train.count() / (2 * train.where("churn = 1").count()))
+
+
+def test_folds_are_stratified(spark):
+    df = spark.range(1003).select(F.col("id").alias("k"), (F.col("id") % 10 == 0).cast("int").alias("y"))
+    found = churn.with_fold(df, "k", "y").groupBy("y", "fold").count().collect()
+    for label, size in ((0, 902), (1, 101)):
+        assert sorted(r["count"] for r in found if r.y == label) == sorted(size // 5 + (i < size % 5) for i in range(5))
+    again = churn.with_fold(df.repartition(7), "k", "y")
+    assert again.exceptAll(churn.with_fold(df, "k", "y")).isEmpty()

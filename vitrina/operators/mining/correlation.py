@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from vitrina.functions.measures import total
-from vitrina.operators.mining.cluster import feature_vectors
+from vitrina.functions.measures import exact_sum, total
 
 TOTAL = "total_ventas"
-PAIRS = "a STRING, b STRING, correlacion DOUBLE"
 
 
 def monthly_matrix(star: DataFrame, categories: Sequence[str]) -> DataFrame:
@@ -27,24 +24,41 @@ def monthly_matrix(star: DataFrame, categories: Sequence[str]) -> DataFrame:
     return filled.withColumn(TOTAL, summed)
 
 
-def correlation_matrix(matrix: DataFrame, columns: Sequence[str]) -> DataFrame:
+def monthly_sales(star: DataFrame) -> DataFrame:
+    """(anio, mes, columna, suma): exact sales per month and category."""
+    keys = ["anio", "mes", F.col("nombre_categoria").alias("columna")]
+    return star.groupBy(*keys).agg(exact_sum("subtotal").alias("suma"))
+
+
+def monthly_cells(sold: DataFrame, categories: DataFrame) -> DataFrame:
+    """(anio, mes, columna, ventas): the matrix in long form, empty cells 0, with the total of each month.
+
+    ``sold`` is read several times, so it should be a stored table; ``categories`` has one
+    row per ``nombre``.  The list of months is bounded by the calendar.
+    """
+    months = sold.agg(F.collect_set(F.struct("anio", "mes"))).scalar()
+    empty = categories.select(F.col("nombre").alias("columna"), F.inline(months)).select("anio", "mes", "columna")
+    named = empty.join(sold, ["anio", "mes", "columna"], "left")
+    totals = sold.groupBy("anio", "mes").agg(F.lit(TOTAL).alias("columna"), F.sum("suma").alias("suma"))
+    return named.unionByName(totals).select(
+        "anio", "mes", "columna", F.coalesce(F.col("suma").cast("double"), F.lit(0.0)).alias("ventas")
+    )
+
+
+def correlation_matrix(cells: DataFrame) -> DataFrame:
     """Lower triangle with diagonal in long form; null where a column is constant.
 
-    MLlib gathers the Gram matrix from all partitions; only the finished
-    columns-by-columns matrix reaches the driver.
+    Columns meet month by month; moments combine before they are shuffled by pair.
     """
-    vectors = feature_vectors(matrix, columns).select("features")
-    values = Correlation.corr(vectors, "features", "pearson").head()[0].toArray()
-    pairs = [
-        (b, a, None if math.isnan(values[i][j]) else float(values[i][j]))
-        for i, a in enumerate(columns)
-        for j, b in enumerate(columns)
-        if j <= i
-    ]
-    # A constant column has no correlation, not even with itself.
-    constant = {a for a, b, v in pairs if a != b and v is None} & {b for a, b, v in pairs if a != b and v is None}
-    pairs = [(a, b, None if a == b and a in constant else v) for a, b, v in pairs]
-    return matrix.sparkSession.createDataFrame(pairs, PAIRS)
+    # A constant column has no correlation, not even with itself.  A window holds the months of a column.
+    column = W.partitionBy("columna")
+    cells = cells.withColumn("varia", F.min("ventas").over(column) < F.max("ventas").over(column))
+    left = cells.select("anio", "mes", F.col("columna").alias("a"), F.col("ventas").alias("x"), F.col("varia").alias("va"))
+    right = cells.select("anio", "mes", F.col("columna").alias("b"), F.col("ventas").alias("y"), F.col("varia").alias("vb"))
+    pairs = left.join(right, ["anio", "mes"]).where(F.col("a") <= F.col("b"))
+    both = F.col("va") & F.col("vb")
+    found = F.corr(F.when(both, F.col("x")), F.when(both, F.col("y")))
+    return pairs.groupBy("a", "b").agg(found.alias("correlacion"))
 
 
 def top_correlations(pairs: DataFrame, with_column: str = TOTAL, n: int = 5) -> DataFrame:

@@ -634,7 +634,7 @@ def naive_bayes_fit(w):
 
 @query
 def naive_bayes_predict(w):
-    frame = _bayes_frame(w)
+    frame = stored(_bayes_frame(w))
     model = returns.fit_bayes(frame, P.BAYES_FEATURES, "riesgo")
     scored = returns.predict_bayes(frame, model, P.BAYES_FEATURES)
     return rounded(scored.select("id_producto", "riesgo", "prediccion", "probabilidad"), "probabilidad")
@@ -651,7 +651,7 @@ def naive_bayes_accuracy(w):
 
 @query
 def naive_bayes_cv(w):
-    frame = stored(churn.with_fold(_bayes_frame(w), "id_producto", P.FOLDS, P.SEED))
+    frame = stored(churn.with_fold(_bayes_frame(w), "id_producto", "riesgo", P.FOLDS, P.SEED))
     result = returns.cross_validate_bayes(frame, P.BAYES_FEATURES, "riesgo", "fold", P.FOLDS)
     return rounded(result, "exactitud_media")
 
@@ -678,7 +678,7 @@ def seasonal_by_category(w):
 
 
 def _category_names(w) -> list[str]:
-    """The category vocabulary: one short label per category."""
+    """The column names of a wide table: one short label per category."""
     return [r.nombre for r in w.retail.categories.orderBy("nombre").collect()]
 
 
@@ -689,9 +689,8 @@ def monthly_category_matrix(w):
 
 
 def _correlations(w):
-    names = _category_names(w)
-    matrix = correlation.monthly_matrix(w.star("calendar", "products"), names)
-    return correlation.correlation_matrix(matrix, [*names, correlation.TOTAL])
+    sold = stored(correlation.monthly_sales(w.star("calendar", "products")), "ventas_mensuales")
+    return correlation.correlation_matrix(correlation.monthly_cells(sold, w.retail.categories))
 
 
 @query
