@@ -20,6 +20,7 @@ from __future__ import annotations
 import functools
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -201,6 +202,7 @@ def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order."""
     found: list[Block] = []
     stack: list[tuple[str, int]] = []
+    depth: Counter[str] = Counter()  # open elements by tag, so that stray ends cost nothing
     parts: list[str] = []
     linked: list[str] = []
     place, heading, link, at, n = NEITHER, 0, 0, 0, len(page)
@@ -255,14 +257,15 @@ def blocks(page: str) -> list[Block]:
             heading = 0
         elif closing:
             heading = 0
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    place = stack[i][1]
-                    del stack[i:]
+            while depth[tag]:
+                name, place = stack.pop()
+                depth[name] -= 1
+                if name == tag:
                     break
         elif tag not in VOID and not attributes.endswith("/"):
             heading = 0
             stack.append((tag, place))
+            depth[tag] += 1
             place = _place(tag, attributes, place)
     flush()
     return found

@@ -17,6 +17,7 @@ Defined results
   null, empty text     a score like any other: that of a text without words
   null id              held out: such rows are never learned from
   null label           not learned from; repeated labels of an id count once, the largest
+  repeated ids         of their texts the smallest is learned from; each is scored
   repeated rows        equal scores
   no labels of a kind  every score is the share of label 1, or 0.5 without labels
   empty table          empty result
@@ -34,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrina.llm.text import texts
+from vitrina.session import stored
 
 FOLDS = 5
 THRESHOLD = 0.3
@@ -212,7 +214,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, la
     chosen = chosen.agg(F.max(label).cast("int").alias("label")).orderBy(F.md5(F.col("id").cast("string"))).limit(sample)
     texts_ = docs.select(id_.alias("id"), F.col(text_column).alias("text"))
     # At most ``sample`` rows of an id and a label.
-    known = texts_.join(F.broadcast(chosen), "id")
+    known = texts_.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+    # Stored, so that all tasks search the documents, once, and few tasks read the bounded rest.
+    known = stored(known, "labelled")
     tables = known.select("text").coalesce(8).mapInArrow(_context_sums, "table binary").collect()
     counts = np.zeros((BUCKETS, DIM + 1))
     for row in tables:
@@ -227,8 +231,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, la
 
     shown = known.select(F.col("id").cast("string").alias("id"), "label", "text")
     found = shown.mapInArrow(features, "id string, label int, features binary")
-    found = found.groupBy("id", "label", fold(F.col("id")).alias("fold")).agg(F.min("features").alias("features"))
-    rows = sorted(found.collect(), key=lambda row: row.id)
+    rows = sorted(found.withColumn("fold", fold(F.col("id"))).collect(), key=lambda row: row.id)
     y = np.array([row.label for row in rows], dtype=float)
     none = [np.zeros((FEATURES, HIDDEN)), np.zeros(HIDDEN), np.zeros(HIDDEN), np.zeros(())]
     if len(set(y)) < 2:
