@@ -84,5 +84,6 @@ ORACLES: dict[str, str] = {
     "op1_line_dedup": line_dedup.oracle(),
     "op3_quality_rules": quality_rules.oracle(),
     "op5_mixing": mixing.oracle(),
+    "op7_sharding": sharding.oracle(),
     "op9_exact_dedup": exact_dedup.ORACLE,
 }

@@ -5,9 +5,10 @@ generator, seeded with the key, names the next bucket count at which the key jum
 along those jumps gives the shard for n and for n + 1 shards at once; no ring table exists,
 and a shard that is appended takes rows only into itself.
 
-Slots number the rows of a shard without gaps.  A shard is divided into buckets; bucket sizes
-(at most shards x buckets rows, which is the bound of the broadcast) give the offsets, and
-rows are numbered inside a bucket.
+Slots number the rows of a shard without gaps.  A shard is divided into buckets by a hash of
+key, checksum and size, so that different rows of one key spread as well; bucket sizes (at
+most shards x buckets rows, which is the bound of the broadcast) give the offsets, and rows
+are numbered inside a bucket.
 
 Defined results
   null text     16 bytes and the checksum of the empty text
@@ -77,12 +78,19 @@ def shards(
     integral = isinstance(docs.schema[id_column].dataType, T.IntegralType)
     key = F.col(id_column).cast("long") if integral else F.xxhash64(F.col(id_column))
     key = F.coalesce(key, F.lit(0).cast("long"))
-    placed = docs.select(
+    found = docs.select(
         F.col(id_column).alias("doc_id"),
         (F.octet_length(text).cast("long") + OVERHEAD).alias("size"),
         F.crc32(text).alias("text_crc32"),
-        jumps(key, n).alias("walk"),
-        F.pmod(key, F.lit(buckets)).cast("int").alias("bucket"),
+        key.alias("key"),
+    )
+    draw = F.substring(F.md5(F.concat_ws(":", "key", "text_crc32", "size")), 1, 8)
+    placed = found.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        jumps(F.col("key"), n).alias("walk"),
+        F.pmod(F.conv(draw, 16, 10).cast("long"), F.lit(buckets)).cast("int").alias("bucket"),
     ).select(
         "doc_id",
         "size",
@@ -108,3 +116,36 @@ def shards(
             "grown_shard",
         )
     )
+
+
+def oracle(n: int = SHARDS, buckets: int = BUCKETS) -> str:
+    """The same rows: the walk as a recursion on wide integers, the checksum byte by byte from its table."""
+    # Fixed value: the reflected polynomial of CRC-32.
+    halved = "CASE WHEN a % 2 = 1 THEN xor(3988292384, a // 2) ELSE a // 2 END"
+    wide = "CAST(18446744073709551616 AS HUGEINT)"
+    return f"""
+    WITH RECURSIVE c AS (
+      SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda a, k: {halved}, CAST(n AS BIGINT))) AS crc),
+    x AS (SELECT doc_id, encode(coalesce(text, '')) AS raw FROM documents),
+    y AS (
+      SELECT doc_id, octet_length(raw) + {OVERHEAD} AS size, list_transform(
+               range(octet_length(raw)), lambda i: CAST('0x' || hex(raw)[2 * i + 1:2 * i + 2] AS BIGINT)) AS bytes FROM x),
+    d AS MATERIALIZED (
+      SELECT row_number() OVER () AS r, doc_id, size, coalesce(doc_id, 0) AS key, xor(4294967295, list_reduce(
+               bytes, lambda a, b: xor(a // 256, crc[xor(a, b) % 256 + 1]), CAST(4294967295 AS BIGINT))) AS text_crc32
+      FROM y, c),
+    w AS (
+      SELECT r, ((CAST(key AS HUGEINT) % {wide}) + {wide}) % {wide} AS k, CAST(0 AS BIGINT) AS here, CAST(0 AS BIGINT) AS shard,
+             CAST(0 AS BIGINT) AS grown FROM d
+      UNION ALL
+      SELECT r, z, CAST(floor((here + 1) * (2147483648.0::DOUBLE / CAST((z >> 33) + 1 AS DOUBLE))) AS BIGINT),
+             CASE WHEN here < {n} THEN here ELSE shard END, here
+      FROM (SELECT *, (k * {MULTIPLIER} + 1) % {wide} AS z FROM w WHERE here <= {n})),
+    l AS (SELECT r, max(shard) AS shard, max(grown) AS grown FROM w GROUP BY r),
+    p AS (
+      SELECT d.*, shard, grown, CAST('0x' || substr(md5(concat_ws(':', key, text_crc32, size)), 1, 8) AS BIGINT) % {buckets} AS bucket
+      FROM d JOIN l USING (r))
+    SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+           row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot,
+           CAST(grown AS INTEGER) AS grown_shard
+    FROM p"""
