@@ -54,6 +54,16 @@ def test_margin_and_summary(sales, rows):
     assert found.crecimiento_medio_pct == pytest.approx(25.1)
 
 
+def test_summary_from_one_join_keeps_lines_of_unknown_products_in_the_growth(spark):
+    fact = spark.createDataFrame(
+        [(2020, 1, 100.0), (2020, 2, 50.0), (2021, 1, 200.0), (2021, 9, 100.0)], "anio INT, id_producto BIGINT, subtotal DOUBLE"
+    )
+    products = spark.createDataFrame([(1, "A", 40), (2, "B", 5)], "id_producto BIGINT, nombre_categoria STRING, margen_pct INT")
+    found = kpi.summary_of_sums(kpi.year_category_sums(fact, products)).head()
+    assert (found.crecimiento_medio_pct, found.margen_medio_pct) == (100.0, 22.5)
+    assert (found.mejor_categoria, found.mejor_margen_pct, found.peor_categoria, found.peor_margen_pct) == ("A", 40.0, "B", 5.0)
+
+
 def test_olap_shapes(sales, rows):
     assert rows(olap.slice_(sales, "nombre_categoria", "A"), "anio", "ventas") == [(2019, 100.0), (2021, 300.5), (2022, 150.0)]
     assert rows(olap.dice(sales, {"nombre_categoria": "A", "anio": 2021}), "nombre_mes", "cantidad") == [("January", 3)]

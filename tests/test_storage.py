@@ -136,3 +136,10 @@ def test_export_goes_on_after_a_damaged_file(spark, tmp_path):
     }
     log = {row[0]: row for row in export_csv(spark, tables, str(tmp_path / "out")).collect()}
     assert log["good"][1] == 4 and log["bad"][1] is None and log["bad"][2]
+
+
+def test_tables_are_chosen_by_name_and_prefix():
+    tables = {"Dim_A": 1, "Dim_B": 2, "Cubo_A": 3}
+    assert audit.selected(tables) == tables
+    assert audit.selected(tables, exclude_prefixes=["Dim_"]) == {"Cubo_A": 3}
+    assert audit.selected(tables, ["Dim_A", "Cubo_A", "Otra"], ["Cubo_"]) == {"Dim_A": 1}

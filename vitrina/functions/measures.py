@@ -77,10 +77,19 @@ def guarded_margin_pct(price: Column | str, cost: Column | str) -> Column:
     return F.when(col(price) > 0, margin_pct(price, cost)).otherwise(F.lit(0))
 
 
+def cost_hundredfold(amount: Column | str, margin: Column | str) -> Column:
+    """A hundred times the amount without its whole-percent margin, as a decimal."""
+    return col(amount).cast(MONEY) * (100 - col(margin)).cast("decimal(4,0)")
+
+
+def total_hundredth(value: Column | str) -> Column:
+    """A hundredth of the sum of ``cost_hundredfold`` values or of sums of them."""
+    return F.coalesce(exact_sum(value).cast("double") / 100, F.lit(0.0))
+
+
 def total_cost(amount: Column | str, margin: Column | str) -> Column:
     """Sum of amounts without their whole-percent margins."""
-    kept = col(amount).cast(MONEY) * (100 - col(margin)).cast("decimal(4,0)")
-    return F.coalesce(exact_sum(kept).cast("double") / 100, F.lit(0.0))
+    return total_hundredth(cost_hundredfold(amount, margin))
 
 
 def line_subtotal(price: Column | str, quantity: Column | str, discount: Column | str, decimals: int = 0) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +38,17 @@ def catalog_tables(spark: SparkSession, database: str | None = None) -> dict[str
     return {t.name: spark.table(f"{database}.{t.name}" if database else t.name) for t in listed if not t.isTemporary}
 
 
+def selected[T](
+    tables: Mapping[str, T], include: Collection[str] | None = None, exclude_prefixes: Sequence[str] = ()
+) -> dict[str, T]:
+    """The tables of the ``include`` list, all without one, less those whose name begins with a prefix."""
+    return {
+        name: table
+        for name, table in tables.items()
+        if (include is None or name in include) and not name.startswith(tuple(exclude_prefixes))
+    }
+
+
 def schema_listing(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Ordered columns of every table with the key flag and the size of the table."""
     spark = next(iter(tables.values())).sparkSession

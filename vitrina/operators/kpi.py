@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from vitrina.functions.measures import (
+    cost_hundredfold,
+    exact_sum,
     growth_pct,
     half_even,
     millions,
@@ -14,6 +16,7 @@ from vitrina.functions.measures import (
     ratio,
     total,
     total_cost,
+    total_hundredth,
 )
 from vitrina.functions.rules import growth_band, margin_band
 
@@ -93,6 +96,32 @@ def summary(yearly: DataFrame, margins: DataFrame) -> DataFrame:
     )
 
 
+def year_category_sums(fact: DataFrame, products: DataFrame) -> DataFrame:
+    """Decimal sums per year and category from one join; ``fact`` has the year.
+
+    Lines of unknown products keep their year, and are marked, because they count in
+    the growth but in no margin.
+    """
+    known = products.select("id_producto", "nombre_categoria", "margen_pct", F.lit(True).alias("conocido"))
+    joined = fact.join(known, "id_producto", "left")
+    return joined.groupBy("anio", "nombre_categoria", "conocido").agg(
+        exact_sum("subtotal").alias("ventas"),
+        exact_sum(cost_hundredfold("subtotal", "margen_pct")).alias("costo_centuplo"),
+    )
+
+
+def summary_of_sums(sums: DataFrame) -> DataFrame:
+    """``summary`` from the sums per year and category, which should be stored."""
+    yearly = sums.groupBy("anio").agg(total("ventas").alias("ventas"))
+    # One row per year reaches this window.
+    before = F.lag("ventas").over(W.orderBy("anio"))
+    yearly = yearly.select(growth_pct("ventas", before).alias("crecimiento_yoy_pct"))
+    margins = sums.where("conocido").groupBy("nombre_categoria")
+    margins = margins.agg(total("ventas").alias("ingresos"), total_hundredth("costo_centuplo").alias("costo_estimado"))
+    real = half_even(percent(F.col("ingresos") - F.col("costo_estimado"), "ingresos"), 1)
+    return summary(yearly, margins.withColumn("margen_real_pct", real))
+
+
 def bi_measures(fact: DataFrame, products: DataFrame) -> DataFrame:
     """Dashboard cards: sales, distinct orders and the mean margin of the product dimension."""
     return fact.agg(

@@ -667,6 +667,16 @@ SQL: dict[str, str] = {
         SELECT id_cliente,
                CAST('0x' || substr(md5(id_cliente || '-{P.SEED}'), 1, 8) AS BIGINT) % 100 < 70 AS es_entrenamiento
         FROM dim_cliente""",
+    "class_weights": f"""
+        SELECT churn, count(*) AS filas, round(sum(count(*)) OVER () / CAST(count(*) OVER () * count(*) AS DOUBLE), 6) AS peso
+        FROM (SELECT CAST(recency > 180 AS INTEGER) AS churn FROM dim_cliente
+              WHERE CAST('0x' || substr(md5(id_cliente || '-{P.SEED}'), 1, 8) AS BIGINT) % 100 < 70)
+        GROUP BY churn""",
+    "stratified_folds": f"""
+        SELECT id_cliente, churn,
+               CAST((row_number() OVER (PARTITION BY churn ORDER BY h, id_cliente) - 1) % {P.FOLDS} AS INTEGER) AS fold
+        FROM (SELECT id_cliente, CAST(recency > 180 AS INTEGER) AS churn, substr(md5(id_cliente || '-{P.SEED}'), 1, 8) AS h
+              FROM dim_cliente)""",
     "confusion_matrix": """
         SELECT r.v AS real, q.v AS predicho, (SELECT count(*) FROM regla_fija WHERE y = r.v AND p = q.v) AS n
         FROM (VALUES (0), (1)) AS r(v), (VALUES (0), (1)) AS q(v)""",
@@ -754,6 +764,31 @@ SQL: dict[str, str] = {
 SQL["frequent_itemsets_category"] = SQL["frequent_itemsets"]
 SQL["association_rules_brand"] = SQL["association_rules"]
 
+_HISTORIES = {
+    "Dim_Producto_SCD": "scd2_product",
+    "Dim_Cliente_SCD": "scd2_customer",
+    "Dim_Tienda_SCD": "dim_store_scd1",
+    "Dim_Empleado_SCD": "dim_employee_scd1",
+    "Dim_MetodoPago_SCD": "dim_payment_scd1",
+    **{f"Cubo_Ventas_N{n}": f"cube_n{n}" for n in range(5)},
+}
+_stored = " UNION ALL ".join(f"SELECT '{t}' AS tabla, count(*) AS filas FROM ({SQL[k]})" for t, k in _HISTORIES.items())
+SQL["load_warehouse"] = f"""
+        WITH n AS (SELECT * FROM manifiesto UNION ALL {_stored})
+        SELECT * FROM n UNION ALL SELECT 'TOTAL', CAST(sum(filas) AS BIGINT) FROM n"""
+_scd1 = {
+    "Dim_Tienda_SCD": "id_tienda nombre_tienda nombre_ciudad region zona tipo tamano_m2 ultima_actualizacion",
+    "Dim_Empleado_SCD": "id_empleado nombre_empleado cargo nombre_tienda fecha_contratacion salario ultima_actualizacion",
+    "Dim_MetodoPago_SCD": "id_metodo_pago nombre comision_pct ultima_actualizacion",
+}
+_scd1_columns = ", ".join(
+    f"('{t}', {i}, '{c}', {str(i == 1).upper()})" for t, cols in _scd1.items() for i, c in enumerate(cols.split(), 1)
+)
+SQL["warehouse_listing"] = f"""
+        SELECT c.*, n.filas FROM (VALUES {_scd1_columns}) AS c(tabla, posicion, columna, es_pk)
+             JOIN ({_stored}) n USING (tabla)"""
+SQL["stored_star_pivot"] = SQL["olap_pivot"]
+
 _ITEMS = {
     "baskets": BRANDS,
     "frequent_itemsets": BRANDS,

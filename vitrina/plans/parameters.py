@@ -31,3 +31,7 @@ SAMPLE = 500
 FOLDS = 5
 
 ORDERS_RULE = 10  # orders below which the fixed churn rule predicts churn
+
+# Tables of the listing: these names, less those with one of the prefixes.
+LISTED = ["Dim_Tienda_SCD", "Dim_Empleado_SCD", "Dim_MetodoPago_SCD", "Cubo_Ventas_N1", "Cubo_Ventas_N4"]
+NOT_LISTED = ["Cubo_"]

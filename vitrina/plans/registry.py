@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,12 +10,12 @@ from pyspark.sql import functions as F
 
 from vitrina.functions.measures import half_even
 from vitrina.functions.rules import DIMENSION_RULE, SNAPSHOT_RULE
-from vitrina.operators import audit, cube, dimensions, kpi, olap, orders, rfm, scd
+from vitrina.operators import audit, cube, dimensions, facts, kpi, olap, orders, rfm, scd
 from vitrina.operators.mining import basket, churn, cluster, correlation, metrics, returns, seasonality
 from vitrina.plans import parameters as P
-from vitrina.plans.warehouse import Warehouse
+from vitrina.plans.warehouse import Warehouse, opened
 from vitrina.session import configure, scratch_path, stored
-from vitrina.sinks.writers import overwrite, reread_csv
+from vitrina.sinks.writers import load_tables, overwrite, reread_csv
 from vitrina.sources.readers import read_csv, read_table, read_xml
 from vitrina.sources.retail import Retail
 from vitrina.sources.schemas import CAMPAIGN, CAMPAIGN_TAG, TABLES
@@ -352,6 +353,54 @@ def cube_reconcile(w):
     return cube.cube_reconcile(stored(_cube_base(w), "Cubo_Ventas_N0"))
 
 
+# --- the warehouse as stored tables -----------------------------------------------
+
+HISTORIES = {
+    "Dim_Producto_SCD": scd2_product,
+    "Dim_Cliente_SCD": scd2_customer,
+    "Dim_Tienda_SCD": dim_store_scd1,
+    "Dim_Empleado_SCD": dim_employee_scd1,
+    "Dim_MetodoPago_SCD": dim_payment_scd1,
+}
+
+
+def warehouse_tables(w) -> dict[str, Callable[[], DataFrame]]:
+    """Star, histories and cube levels, each built when it is called; the levels share one stored detail."""
+    detail = functools.cache(lambda: stored(_cube_base(w), "detalle_cubo"))
+    histories = {name: functools.partial(build, w) for name, build in HISTORIES.items()}
+    levels = {f"Cubo_Ventas_N{n}": (lambda n=n: cube.cube_level(detail(), n)) for n in range(5)}
+    return w.tables() | histories | levels
+
+
+def store(w, builds) -> tuple[str, DataFrame]:
+    """The folder of the stored tables, and their manifest."""
+    root = scratch_path(w.spark, "dw")
+    return root, load_tables(w.spark, {name: build() for name, build in builds.items()}, root)
+
+
+@query
+def load_warehouse(w):
+    """Every table of the warehouse, stored, with its rows."""
+    return store(w, warehouse_tables(w))[1]
+
+
+@query
+def warehouse_listing(w):
+    """Columns and rows of some stored tables, chosen by name and by prefix."""
+    builds = audit.selected(warehouse_tables(w), P.LISTED, P.NOT_LISTED)
+    root, _ = store(w, builds)
+    return audit.schema_listing(opened(w.spark, root, list(builds)))
+
+
+@query
+def stored_star_pivot(w):
+    """The pivot over a stored star: its scans repeat no join of lines and orders."""
+    names = ["Fact_Ventas", "Dim_Tiempo", "Dim_Producto"]
+    root, _ = store(w, {name: w.tables()[name] for name in names})
+    fact, calendar, products = opened(w.spark, root, names).values()
+    return olap.pivot(facts.star(fact, calendar, products))
+
+
 # --- OLAP -------------------------------------------------------------------------
 
 
@@ -410,7 +459,7 @@ def kpi_margin(w):
 
 @query
 def kpi_summary(w):
-    return kpi.summary(kpi.yoy(w.star("calendar")), kpi.margin_by_category(w.star("products")))
+    return kpi.summary_of_sums(stored(kpi.year_category_sums(w.star("calendar"), w.products), "ventas_anio_categoria"))
 
 
 @query
@@ -527,6 +576,22 @@ def train_test_split(w):
     return churn.with_split(w.customers.select("id_cliente"), "id_cliente", seed=P.SEED)
 
 
+@query
+def class_weights(w):
+    """Balanced weight of each class of the training part."""
+    train = churn.with_split(churn.churn_label(w.customers), "id_cliente", seed=P.SEED).where("es_entrenamiento")
+    weighted = churn.with_balanced_weight(train, "churn")
+    sizes = weighted.groupBy("churn").agg(F.count(F.lit(1)).alias("filas"), F.first("peso").alias("peso"))
+    return rounded(sizes, "peso")
+
+
+@query
+def stratified_folds(w):
+    """The fold of every customer; the rows of a class are dealt in turn."""
+    labelled = churn.churn_label(w.customers).select("id_cliente", "churn")
+    return churn.with_fold(labelled, "id_cliente", "churn", P.FOLDS, P.SEED)
+
+
 @query
 def churn_forest(w):
     frame = churn.training_frame(_churn_features(w), seed=P.SEED)
