@@ -36,7 +36,7 @@ from vitrina.llm.pretokens import ends_open, exact_units, units
 from vitrina.llm.text import texts
 
 GROUP = 1 << 21  # bytes of text that are encoded at a time
-REMEMBERED = 1_000_000  # units whose ids a worker keeps; beyond that it starts afresh
+REMEMBERED = 250_000  # units whose ids a worker keeps; beyond that it starts afresh
 
 
 def byte_characters() -> list[str]:
