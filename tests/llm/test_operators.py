@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import public_tokenizers
 import pytest
 import tiktoken
@@ -21,6 +23,7 @@ from vitrina.llm import (
     exact_dedup,
     html_extract,
     line_dedup,
+    minhash,
     mixing,
     quality_classifier,
     quality_rules,
@@ -217,6 +220,43 @@ def test_links_find_all_pairs_within_two_bits(spark):
     assert {p: found.get(p, p) for p in prints} == root
 
 
+def _brute_shingles(text: str) -> frozenset:
+    words = text.lower().split()
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(len(words) - 4, min(len(words), 1))))
+
+
+def _brute_kept(rows: list[tuple[int, str]]) -> set[int]:
+    """Smallest id of each component of all pairs of similarity 0.8 or more."""
+    sets, root = {i: _brute_shingles(text) for i, text in rows}, {i: i for i, _ in rows}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and root[a] != root[b]:
+                low, high = sorted([root[a], root[b]])
+                root = {i: low if r == high else r for i, r in root.items()}
+    return set(root.values())
+
+
+def test_near_stage_equals_all_pairs(spark):
+    rng = random.Random(7)
+    rows = []
+    for group in range(12):
+        base = [f"g{group}w{rng.randrange(400)}" for _ in range(100)]
+        for _ in range(12):
+            copy = list(base)
+            for _ in range(rng.randrange(7)):
+                copy[rng.randrange(100)] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(copy)))
+    rows += [(1000 + i, f"short {i % 3}") for i in range(6)] + [(1010, ""), (1011, "  ")]
+    expected = _brute_kept(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert 20 < len(expected) < 130
+    assert {row.doc_id for row in corpus_pipeline.near(spark, frame, "").collect()} == expected
+    # The same with every band dealt over many small blocks.
+    assert {row.doc_id for row in minhash.near_dedup(frame, block=200).collect()} == expected
+    odd = spark.createDataFrame([(None, "a b"), (None, "a b"), (4, None), (5, " ")], "doc_id long, text string")
+    assert Counter(row.doc_id for row in minhash.near_dedup(odd).collect()) == Counter([None, 4])
+
+
 def test_jump_hash_and_slots(spark):
     def jump(key, n):
         bucket, after = -1, 0
