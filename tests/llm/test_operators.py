@@ -298,6 +298,18 @@ def _ranks():
     return _cache.setdefault("ranks", bpe.read_ranks(RANKS))
 
 
+def test_remembered_white_space_does_not_change_the_cut():
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=_ranks(), special_tokens={})
+    library = Tokenizer.from_file(FILE)
+    known, counter = bpe.Codec(RANKS, public_tokenizers.PATTERN), token_counts.TokenCounter(FILE)
+    for space in [" ", "\u00a0", "\n", "\u3000"]:
+        known.known, counter.known = {}, {}
+        for text in [f"word {space}", "word ", f"a{f' {space}' * 4} b", f"a{f' {space}' * 8} b", "a    b", f"a {space}b"]:
+            (ids,) = known.encode([text])
+            assert ids.tolist() == own.encode_ordinary(text)
+            assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids)
+
+
 @settings(max_examples=300, deadline=None)
 @given(ODD, st.integers(1, 9))
 def test_transducer_counts_what_the_library_counts(text, chunk):

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from vitrina.llm.pretokens import ends_open, exact_units, units
+from vitrina.llm.pretokens import units
 from vitrina.llm.text import texts
 
 GROUP = 1 << 21  # bytes of text that are encoded at a time
@@ -105,10 +105,7 @@ class Codec:
 
     def encode(self, group: Sequence[str]) -> Iterator[np.ndarray]:
         """The ids of each text."""
-        cut = []
-        for text in group:
-            found = units(text)
-            cut.append(exact_units(text) if any(map(ends_open, self.unknown(set(found)))) else found)
+        cut = list(map(units, group))
         seen = set().union(*cut)
         if len(self.known) > REMEMBERED:
             self.known = {}

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrina.llm.bpe import byte_characters
-from vitrina.llm.pretokens import ends_open, exact_units, units
+from vitrina.llm.pretokens import units
 from vitrina.llm.text import texts
 
 LIMIT = 1024
@@ -191,11 +191,7 @@ class TokenCounter:
     def _units(self, text: str) -> list[str]:
         found = units(text)
         known = self.known
-        new = [unit for unit in set(found) if unit not in known]
-        if any(map(ends_open, new)):
-            found = exact_units(text)
-            new = [unit for unit in set(found) if unit not in known]
-        for unit in new:
+        for unit in [unit for unit in set(found) if unit not in known]:
             known[unit] = self.unit(unit)
         return found
 
