@@ -35,12 +35,12 @@ def same(a, b):
     return a == b
 
 
-@pytest.mark.parametrize("key", sorted(entry_points.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(oracle.oracle_sql()))
 def test_query_equals_its_sql(spark, duck, key):
-    df = entry_points.queries()[key](spark, FOLDER)
+    df = registry.QUERIES[key](spark, FOLDER)
     columns = sorted(df.columns)
     found = sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)
-    result = duck.execute(f"SELECT {', '.join(columns)} FROM ({entry_points.oracle_sql()[key]})")
+    result = duck.execute(f"SELECT {', '.join(columns)} FROM ({oracle.oracle_sql()[key]})")
     types = {d[0]: str(d[1]) for d in result.description}
     expected = sorted(result.fetchall(), key=repr)
     assert {f.name: TYPES[f.dataType.simpleString()] for f in df.schema} == types
