@@ -6,17 +6,21 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vitrina.llm import (
     bpe,
+    divergence,
     exact_dedup,
     html_extract,
+    importance,
     line_dedup,
     mixing,
     quality_classifier,
     quality_rules,
     sharding,
     simhash,
+    suffix_dedup,
     token_counts,
 )
 from vitrina.llm.text import read
@@ -65,6 +69,19 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(read(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op11_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.dedup(read(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+def op13_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(read(spark, folder, "documents"))
+
+
 _ALL = [
     op1_line_dedup,
     op2_quality_classifier,
@@ -76,6 +93,9 @@ _ALL = [
     op8_byte_bpe,
     op9_exact_dedup,
     op10_token_counts,
+    op11_suffix_dedup,
+    op12_importance,
+    op13_divergence,
 ]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {query.__name__: query for query in _ALL}
 
@@ -86,4 +106,6 @@ ORACLES: dict[str, str] = {
     "op5_mixing": mixing.oracle(),
     "op7_sharding": sharding.oracle(),
     "op9_exact_dedup": exact_dedup.ORACLE,
+    "op12_importance": importance.oracle(),
+    "op13_divergence": divergence.oracle(),
 }
