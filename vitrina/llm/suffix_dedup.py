@@ -42,7 +42,7 @@ from vitrina.session import stored
 
 LENGTH = 100
 LEVELS = (24, 60, 90, 100)  # bytes of the naming strings, per cent of ``length``
-CROWD = 8192
+CROWD = 2048
 BLOCK = 1 << 20  # bytes that are suffix-sorted at a time
 CHUNK = 1 << 16  # windows that are named at a time
 CAP = 512  # windows of a piece, so that a monotonous text makes no long ones
@@ -324,7 +324,7 @@ def _texts(docs: DataFrame, chosen: DataFrame, length: int) -> DataFrame:
     chosen = chosen.groupBy(F.struct("first.id", "first.hash").alias("doc"))
     chosen = chosen.agg(F.collect_list(F.struct("name", F.col("first.at").alias("at"), "windows")).alias("chosen"))
     kind = docs.schema["id"].dataType.simpleString()
-    joined = docs.withColumn("doc", _doc()).join(chosen, "doc").select("id", "hash", F.col("text").cast("binary"), "chosen")
+    joined = docs.withColumn("doc", _doc()).join(chosen.hint("merge"), "doc").select("id", "hash", F.col("text").cast("binary"), "chosen")
     return joined.mapInArrow(_cut(length), f"name long, id {kind}, hash long, at long, text binary")
 
 
@@ -337,6 +337,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD, block: in
         k, last = max(1, length * level // 100), level == LEVELS[-1]
         names = source.select("text").mapInArrow(_names(length, k), "name long, places long")
         names = stored(names.groupBy("name").agg(F.sum("places").alias("n")).where("n > 1").select("name"), "names")
+        # Names and copies grow with the corpus: they are merged, never broadcast, at every size.
+        names = names.hint("merge")
         schema = f"name long, digest long, id {kind}, hash long, at long, windows int, places int"
         parts = stored(source.mapInArrow(_pieces(length, k), schema).join(names, "name", "left_semi"), "pieces")
         first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "at", "hash")).alias("first")
@@ -346,12 +348,12 @@ def repeats(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD, block: in
         firsts = stored(grouped, "firsts")
         place = F.struct(F.col("id").isNull().alias("none"), "id", "at")
         copies = firsts.where("copies > 1").select("name", "digest", F.struct("first.none", "first.id", "first.at").alias("first"))
-        later = parts.join(copies, ["name", "digest"]).where(place > F.col("first"))
+        later = parts.join(copies.hint("merge"), ["name", "digest"]).where(place > F.col("first"))
         end = F.col("at") + F.col("windows") + (length - 1)
         found.append(later.select("id", "hash", F.col("at").alias("begin"), end.alias("end")))
         sizes = firsts.groupBy("name").agg(F.count(F.lit(1)).alias("distinct"), F.max("places").alias("most"))
         sizes = sizes.where("distinct > 1 or most > 1").select("name", "distinct")
-        unsettled = firsts.select("name", "first", "windows").join(sizes, "name")
+        unsettled = firsts.select("name", "first", "windows").join(sizes.hint("merge"), "name")
         crowded = F.col("distinct") > crowd
         chosen = unsettled if last else unsettled.where(~crowded)
         texts = _texts(docs, chosen, length).repartition("name").sortWithinPartitions("name")
@@ -402,7 +404,7 @@ def dedup(
     kind = docs.schema["id"].dataType.simpleString()
     given = repeats(docs, length, crowd, block).groupBy(_doc())
     given = given.agg(F.collect_list(F.struct("begin", "end")).alias("given"))
-    joined = docs.withColumn("doc", _doc()).join(given, "doc", "left")
+    joined = docs.withColumn("doc", _doc()).join(given.hint("merge"), "doc", "left")
     joined = joined.select("id", F.col("text").cast("binary"), F.coalesce("given", F.array().cast(given.schema["given"].dataType)).alias("given"))
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, spans array<struct<begin:long,end:long>>, kept binary"
     return joined.mapInArrow(_without, schema)
