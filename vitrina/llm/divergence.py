@@ -25,11 +25,13 @@ Defined results
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -43,48 +45,52 @@ WHOLE = 1_000_000_000
 SIDE = 64  # sources of a block
 WIDTH = 2048  # terms of a block
 CHUNK = 1 << 20  # bytes of text that are split into terms at a time
-HELD = 200_000  # counts that a task holds before it passes them on
+HELD = 400_000  # counts that a task holds before it passes them on
 PRUNE = 8192  # terms of a group that a task holds before it prunes them
 
 _NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
 
-def terms(raw: bytes) -> Counter[bytes]:
-    """How often each term occurs in a text."""
-    found: Counter[bytes] = Counter()
+def term_chunks(raw: bytes) -> Iterator[list[bytes]]:
+    """The terms of a text, in bounded lists."""
     text, begin = raw.translate(_NORMAL), 0
     while begin < len(text):
         end = text.find(b" ", begin + CHUNK)
         end = len(text) if end < 0 else end
-        found.update(text[begin:end].split())
+        yield text[begin:end].split()
         begin = end
-    return found
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, source, term, n, docs) of a partition, added up as far as memory allows."""
-    held: dict[tuple, list[int]] = {}
-
-    def flush() -> pa.RecordBatch:
-        keys, sums = list(zip(*held, strict=True)) or [(), (), ()], list(zip(*held.values(), strict=True)) or [(), ()]
-        columns = [pa.array(keys[0], pa.string()), pa.array(keys[1], pa.string()), pa.array(keys[2], pa.binary()).cast(pa.string())]
-        columns += [pa.array(s, pa.int64()) for s in sums]
+    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for (lang, source), (times, docs) in held.items():
+            names = pa.array(list(times), pa.binary()).cast(pa.string())
+            found = [pa.array([lang], pa.string()), pa.array([source], pa.string())]
+            found = [pa.repeat(value[0], len(names)) for value in found]
+            sums = [pa.array(list(times.values()), pa.int64()), pa.array([docs[term] for term in times], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*found, names, *sums], ["lang", "source", "term", "n", "docs"])
         held.clear()
-        return pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
 
+    size = 0
     for batch in batches:
         groups = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), strict=True)
-        for (lang, source), raw in zip(groups, texts(batch, "text"), strict=True):
-            for term, n in terms(raw).items():
-                sums = held.get((lang, source, term))
-                if sums is None:
-                    held[lang, source, term] = [n, 1]
-                else:
-                    sums[0] += n
-                    sums[1] += 1
-            if len(held) >= HELD:
-                yield flush()
-    yield flush()
+        for group, raw in zip(groups, texts(batch, "text"), strict=True):
+            if group not in held:
+                held[group] = Counter(), Counter()
+            times, docs = held[group]
+            before, seen = len(times), set()
+            for chunk in term_chunks(raw):
+                times.update(chunk)
+                seen.update(chunk)
+            docs.update(seen)
+            size += len(times) - before
+            if size >= HELD:
+                yield from flush()
+                size = 0
+    yield from flush()
 
 
 def undominated(n: np.ndarray, lang_n: np.ndarray, top: int) -> np.ndarray:
@@ -104,6 +110,17 @@ def undominated(n: np.ndarray, lang_n: np.ndarray, top: int) -> np.ndarray:
     return kept[dominated < top]
 
 
+def _group(rows: pa.Table) -> tuple[str, str]:
+    return rows.column("lang")[0].as_py(), rows.column("source")[0].as_py()
+
+
+def _changes(batch: pa.RecordBatch) -> list[int]:
+    """Where the group of a row is not that of the row before."""
+    n = batch.num_rows
+    unlike = [pc.not_equal(batch.column(c).slice(1), batch.column(c).slice(0, n - 1)) for c in ("lang", "source")]
+    return (np.flatnonzero(pc.or_(*unlike).to_numpy(zero_copy_only=False)) + 1).tolist()
+
+
 def _skyband(top: int):
     """Keeps the skyband of each group; rows come sorted by group."""
 
@@ -119,11 +136,10 @@ def _skyband(top: int):
             if not batch.num_rows:
                 continue
             table = pa.Table.from_batches([batch])
-            keys = list(zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), strict=True))
-            cuts = [0, *[i for i in range(1, len(keys)) if keys[i] != keys[i - 1]], len(keys)]
+            cuts = [0, *_changes(batch), batch.num_rows]
             for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
                 part = table.slice(begin, end - begin)
-                if held is not None and (held.column("lang")[0].as_py(), held.column("source")[0].as_py()) != keys[begin]:
+                if held is not None and _group(held) != _group(part):
                     yield from pruned(held).to_batches()
                     held, limit = None, PRUNE
                 held = part if held is None else pa.concat_tables([held, part])
@@ -160,19 +176,17 @@ def _score(p: Column, q: Column) -> Column:
 def _pair_sums(width: int):
     """Sums of the scores of all pairs of one block of sources with another, and how many terms they cover.
 
-    Rows come sorted by (lang, one, other).  A tile begins with a row that lists the sources of
-    both blocks and their shares without a term; ``cells`` holds the shares of a term, each with
-    its block and its place in it.
+    Rows come sorted by (lang, one, other, term).  A tile begins with rows without a term, which
+    list the sources of both blocks and their shares without a term; the others are the share of
+    a term in one source, named by its block and its place in it.
     """
 
-    def fold(batch: pa.RecordBatch, tile: dict, sums: np.ndarray) -> None:
-        lists = batch.column("cells")
-        cells = lists.flatten()
-        block, at, share = (cells.field(f).to_numpy() for f in ("block", "at", "p"))
-        term = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+    def fold(rows: pa.Table, starts: np.ndarray, tile: dict, sums: np.ndarray) -> None:
+        block, at, share = (rows.column(c).to_numpy() for c in ("block", "at", "p"))
+        term = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, rows.num_rows)))
         sides = []
         for name, listed in (("one", "ones"), ("other", "others")):
-            shares = np.repeat(np.array([s["base"] for s in tile[listed]], dtype=np.int64)[:, None], batch.num_rows, axis=1)
+            shares = np.repeat(np.array([s["base"] for s in tile[listed]], dtype=np.int64)[:, None], len(starts), axis=1)
             mine = block == tile[name]
             shares[at[mine], term[mine]] = share[mine]
             sides.append(shares)
@@ -190,22 +204,46 @@ def _pair_sums(width: int):
         ]
         return pa.RecordBatch.from_arrays(columns, ["lang", "source", "item", "value", "seen"])
 
+    def units(rows: pa.Table) -> np.ndarray:
+        """Where a head or the cells of a term begin."""
+        n = rows.num_rows
+        columns = [rows.column(c).combine_chunks() for c in ("lang", "one", "other", "term")]
+        unlike = [pc.fill_null(pc.not_equal(c.slice(1), c.slice(0, n - 1)), True).to_numpy(zero_copy_only=False) for c in columns]
+        return np.append(0, np.flatnonzero(np.logical_or.reduce(unlike)) + 1) if n else np.zeros(0, dtype=np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile, sums, seen = None, None, 0
-        for batch in batches:
-            heads = np.flatnonzero(batch.column("cells").is_null().to_numpy(zero_copy_only=False))
-            for begin, end in zip([0, *heads], [*heads, batch.num_rows], strict=True):
-                if begin in heads and begin < end:
-                    if tile is not None and seen:
+        tile, sums, seen, held = None, None, 0, None
+
+        def take(rows: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+            nonlocal tile, sums, seen
+            is_head = rows.column("term").is_null().to_numpy()[starts]
+            heads = np.flatnonzero(is_head)
+            for first, last in zip(np.append(0, heads), np.append(heads, len(starts)), strict=True):
+                if first == last:
+                    continue
+                if is_head[first]:
+                    if seen:
                         yield done(tile, sums, seen)
-                    (tile,) = batch.slice(begin, 1).to_pylist()
-                    sums, seen = np.zeros((len(tile["ones"]), len(tile["others"])), dtype=np.int64), 0
-                    begin += 1
-                for low in range(begin, end, width):
-                    part = batch.slice(low, min(width, end - low))
-                    fold(part, tile, sums)
-                    seen += part.num_rows
-        if tile is not None and seen:
+                    (head,) = rows.slice(starts[first], 1).select(["lang", "one", "other", "lists"]).to_pylist()
+                    tile = head | json.loads(head["lists"])
+                    sums, seen, first = np.zeros((len(tile["ones"]), len(tile["others"])), dtype=np.int64), 0, first + 1
+                for low in range(first, last, width):
+                    high = min(low + width, last)
+                    end = starts[high] if high < len(starts) else rows.num_rows
+                    fold(rows.slice(starts[low], end - starts[low]), starts[low:high] - starts[low], tile, sums)
+                    seen += high - low
+
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            starts = units(rows)
+            if len(starts):
+                # The last term may go on in the next batch.
+                held = rows.slice(starts[-1])
+                yield from take(rows.slice(0, starts[-1]), starts[:-1])
+        if held is not None and held.num_rows:
+            yield from take(held, np.zeros(1, dtype=np.int64))
+        if seen:
             yield done(tile, sums, seen)
 
     return run
@@ -230,20 +268,20 @@ def pair_sums(cells: DataFrame, groups: DataFrame, side: int, width: int) -> Dat
     listed = blocks.groupBy("lang", "block").agg(F.sort_array(F.collect_list(F.struct("at", "source", "base"))).alias("sources"))
     one = listed.select("lang", F.col("block").alias("one"), F.col("sources").alias("ones"))
     other = listed.select("lang", F.col("block").alias("other"), F.col("sources").alias("others"))
-    heads = one.join(other, "lang").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    lists = F.to_json(F.struct("ones", "others")).alias("lists")
+    heads = one.join(other, "lang").select("lang", "one", "other", lists)
+    heads = heads.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
     # A cell goes to the tiles of its block: one row and one column of them.
     placed = cells.join(blocks.drop("base"), ["lang", "source"]).join(numbers, "lang")
     across = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     placed = placed.select("lang", "term", "p", "block", "at", across.alias("next"))
     block, next_ = (F.coalesce(F.col(c), F.lit(0)) for c in ("block", "next"))  # never null; one type for both structs
     tile = [F.struct(a.alias("one"), b.alias("other")) for a, b in ((block, next_), (next_, block))]
-    tile = F.array_distinct(F.array(*tile))
-    placed = placed.select("lang", "term", "p", "block", "at", F.explode(tile).alias("tile"))
-    placed = placed.groupBy("lang", "tile.one", "tile.other", "term").agg(F.collect_list(F.struct("block", "at", "p")).alias("cells"))
+    placed = placed.select("lang", "term", "p", "block", "at", F.explode(F.array_distinct(F.array(*tile))).alias("tile"))
+    placed = placed.select("lang", "tile.one", "tile.other", "term", "block", "at", "p")
     placed = placed.withColumn("chunk", F.pmod(F.xxhash64("term"), F.lit(chunks)).cast("int"))
-    rows = heads.unionByName(placed.drop("term"), allowMissingColumns=True)
-    rows = rows.repartition("lang", "one", "other", "chunk")
-    rows = rows.sortWithinPartitions("lang", "one", "other", F.col("cells").isNotNull())
+    rows = heads.unionByName(placed, allowMissingColumns=True)
+    rows = rows.repartition(tasks, "lang", "one", "other", "chunk").sortWithinPartitions("lang", "one", "other", F.col("term").asc_nulls_first())
     # Several chunks of a tile may meet in a task; their heads are equal, one is enough.
     schema = "lang string, source string, item string, value long, seen long"
     found = rows.drop("chunk").mapInArrow(_pair_sums(width), schema)
@@ -267,7 +305,7 @@ def audit(
     counted = counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     counted = stored(counted, "counts")
     kept = counted.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n"))
-    kept = kept.where(F.col("docs") >= min_docs).drop("docs")
+    kept = stored(kept.where(F.col("docs") >= min_docs).drop("docs"), "kept")
     cells = stored(counted.drop("docs").join(kept, ["lang", "term"]), "cells")
     langs = kept.groupBy("lang").agg(F.sum("lang_n").alias("q_total"), F.count(F.lit(1)).alias("kept"))
     totals = cells.groupBy("lang", "source").agg(F.sum("n").alias("p_total"))
