@@ -29,7 +29,8 @@ from vitrina.llm.text import ascii_lower
 from vitrina.session import stored
 
 COUNTERS = 1000
-_PAIR = "__digest_and_id"  # a name that no input column is expected to have
+# Names that no input column is expected to have.
+_PAIR, _TOP = "__digest_and_id", "__top_of_digest"
 
 
 def digest(text: Column) -> Column:
@@ -107,12 +108,12 @@ def dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     keyed = docs.withColumn(_PAIR, pair)
     pairs = stored(keyed.select(f"{_PAIR}.key", f"{_PAIR}.id"), "digests")
     heavy = stored(frequent(pairs.select("key"), k), "frequent")
-    top = F.max(F.struct("key", "id")).alias("top")  # a null id is the smallest
-    winners = stored(pairs.join(F.broadcast(heavy), "key", "left_semi").groupBy("key").agg(top), "winners")
-    rest = pairs.join(F.broadcast(heavy), "key", "left_anti").groupBy("key").agg(top)
-    losing = (F.col(f"{_PAIR}.key") == F.col("top.key")) & (F.col(_PAIR) != F.col("top"))
-    keyed = keyed.join(F.broadcast(winners.select("top")), losing, "left_anti")
-    keepers = winners.unionByName(rest).select(F.col("top").alias(_PAIR))
+    top = F.max(F.struct("key", "id")).alias(_TOP)  # a null id is the smallest
+    winners = stored(pairs.join(F.broadcast(heavy), "key", "left_semi").groupBy("key").agg(top).drop("key"), "winners")
+    rest = pairs.join(F.broadcast(heavy), "key", "left_anti").groupBy("key").agg(top).drop("key")
+    losing = (F.col(f"{_PAIR}.key") == F.col(f"{_TOP}.key")) & (F.col(_PAIR) != F.col(_TOP))
+    keyed = keyed.join(F.broadcast(winners), losing, "left_anti")
+    keepers = winners.unionByName(rest).select(F.col(_TOP).alias(_PAIR))
     # The join leaves equal pairs side by side, so repeated rows go without another shuffle.
     return keyed.join(keepers, _PAIR, "left_semi").dropDuplicates([_PAIR]).select(*columns)
 

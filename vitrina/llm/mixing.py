@@ -4,9 +4,10 @@
    take as many words as all documents hold.  No target exceeds ``most`` times its source;
    the excess goes to the others by weight.  Sorted by the level at which they fill up, the
    sources show that level in one pass.
-2. Quotas.  The total is cut into blocks of equal size.  The blocks go to the sources by
-   highest quotients target / (2j - 1), and a source's blocks go to its shards in the same way
-   by their sizes.  Only quotients between two proven divisors are ranked, at most a few per
+2. Quotas.  The total is cut into blocks of equal size: one word each unless told otherwise, so
+   that the smallest source of the smallest corpus meets its target too.  The blocks go to the
+   sources by highest quotients target / (2j - 1), and a source's blocks go to its shards in the
+   same way by their sizes.  Only quotients between two proven divisors are ranked, at most a few per
    party, because Webster's divisor lies between total / (blocks + n/2) and
    total / (blocks - n/2).
 3. Selection.  A shard's documents lie end to end in a seeded order.  Whole rounds are taken
@@ -14,8 +15,8 @@
 
 A source of n documents has ceil(sqrt(n)) shards, so neither a shard nor the list of a
 source's shards grows faster than the square root of the source: a hot source is one of many
-keys in every window.  The list of sources has one row per component of the mixture; it is
-checked against ``MAX_SOURCES``, which bounds the broadcasts.
+keys in every window.  The list of sources has one row per component of the mixture, however many
+there are; Spark broadcasts it only where its own size check allows.
 
 Defined results
   null, empty text  size 0, nothing taken
@@ -38,20 +39,16 @@ from vitrina.session import stored
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
-BLOCK = 16
+BLOCK = 1
 SEED = "mix-1"
-MAX_SOURCES = 100_000
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST) -> DataFrame:
     """One row per source: rank, source, docs, source_size, target."""
     by_source = sizes.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum("size").alias("source_size"))
     everything = W.partitionBy()
-    n = F.count(F.lit(1)).over(everything)
-    checked = F.when(n > MAX_SOURCES, F.raise_error(F.lit(f"more than {MAX_SOURCES} sources"))).otherwise(
-        F.row_number().over(W.orderBy(F.col("source").asc_nulls_last()))
-    )
-    ranked = by_source.withColumn("rank", checked.cast("int"))
+    number = F.row_number().over(W.orderBy(F.col("source").asc_nulls_last()))
+    ranked = by_source.withColumn("rank", number.cast("int"))
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod(F.col("rank") - 1, F.lit(len(weights))) + 1).cast("int"))
     ranked = ranked.withColumn("weight", weight.cast("long")).withColumn("cap", F.col("source_size") * most)
     # In order of cap / weight every source before the level is full and none after it is.
@@ -114,8 +111,8 @@ def _number(draw: Column, below: Column) -> Column:
 def _positions(sizes: DataFrame, weights: Sequence[int], most: int, block: int, seed: str) -> DataFrame:
     """sizes with source_size, target, and the words [a, b) of each round that the mix takes."""
     sources = stored(source_targets(sizes, weights, most), "sources")
-    broad = F.broadcast(sources.withColumnRenamed("source", "name"))
-    placed = sizes.join(broad, F.col("source").eqNullSafe(F.col("name"))).drop("name")
+    named = sources.withColumnRenamed("source", "name")
+    placed = sizes.join(named, F.col("source").eqNullSafe(F.col("name"))).drop("name")
     draw = _draw(seed, F.col("id"))
     count = F.ceil(F.sqrt(F.col("docs"))).cast("long")
     placed = placed.withColumn("draw", draw).withColumn("shard", _number(F.substring("draw", 9, 8), count))
@@ -123,7 +120,7 @@ def _positions(sizes: DataFrame, weights: Sequence[int], most: int, block: int,
     total = F.sum("target").over(W.partitionBy())
     blocks = F.floor(total / block + 0.5).cast("long")
     quotas = sainte_lague(sources.select("rank", "target"), [], "rank", "target", blocks)
-    shards = shards.join(F.broadcast(quotas.withColumnRenamed("quota", "of_source")), "rank")
+    shards = shards.join(quotas.withColumnRenamed("quota", "of_source"), "rank")
     taking = sainte_lague(shards, ["rank"], "shard", "length", F.col("of_source"))
     in_shard = F.greatest(F.lit(1), F.ceil(F.col("length") / block)).cast("long")
     shards = shards.join(taking, ["rank", "shard"]).select(
@@ -210,16 +207,16 @@ def mixed(
     rounds = F.array_repeat(_span(zero, F.col("size")), F.col("rounds").cast("int"))
     parts = F.array(_span(F.col("a"), F.col("b") - F.col("a")), _span(zero, F.col("c")))
     parts = F.filter(parts, lambda span: span["n"] > 0)
-    spans = found.select(keys[0].alias("__key"), F.concat(rounds, parts).alias("spans"))
+    spans = found.select(keys[0].alias("__key"), F.concat(rounds, parts).alias("__spans"))
     # Repeated rows of one document are one text with all their spans.
-    spans = spans.groupBy("__key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    spans = spans.groupBy("__key").agg(F.flatten(F.collect_list("__spans")).alias("__spans"))
     texts = docs.withColumn("__key", keys[1]).dropDuplicates(["__key"])
-    taken = texts.join(spans, "__key").withColumn("__span", F.explode("spans"))
+    taken = texts.join(spans, "__key").withColumn("__span", F.explode("__spans"))
     words = F.regexp_extract_all(F.col(text_column), F.lit(f"[{SPACE}]*({WORD})"), F.lit(0))
     part = F.array_join(F.slice(words, (F.col("__span.begin") + 1).cast("int"), F.col("__span.n").cast("int")), "")
     whole = F.col("__span.n") == F.col("__size")
     text = F.when(whole, F.col(text_column)).otherwise(F.ltrim(part, F.lit(SPACE)))
-    return taken.withColumn(text_column, text).drop("__key", "spans", "__span", "__size")
+    return taken.withColumn(text_column, text).drop("__key", "__spans", "__span", "__size")
 
 
 def oracle(weights: Sequence[int] = WEIGHTS, most: int = MOST, block: int = BLOCK, seed: str = SEED) -> str:
