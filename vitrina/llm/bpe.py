@@ -8,7 +8,9 @@ The matches of the split pattern are encoded one by one in any case, so each bat
 its new matches to the library, all in one call, and keeps the ids of the units it has seen.
 
 Decoding looks up the bytes of each id and joins them before they are read as text, so a
-character that is split over several tokens comes back whole.
+character that is split over several tokens comes back whole.  Offsets (``offsets=True``) give, for
+each token, where its bytes begin and end, and the characters it touches: tokens that share a
+character each begin at or before it and end behind it.
 
 Defined results
   null, empty text  no tokens
@@ -138,25 +140,46 @@ def decode(ids: Sequence[int], table: list[bytes]) -> bytes:
     return b"".join([table[i] for i in ids])
 
 
-def bpe(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, ids, n_tokens, ids_sha256, decoded_sha256 of every document."""
+def token_offsets(ids: np.ndarray, text: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First byte, byte behind, first character and character behind of each token of a text."""
+    end = np.cumsum(lengths[ids])
+    begin = end - lengths[ids]
+    starts = (np.frombuffer(text, dtype=np.uint8) & 0xC0) != 0x80
+    before = np.append(0, np.cumsum(starts))  # characters that begin before a byte
+    # A token that begins inside a character begins with that character.
+    return begin, end, before[np.minimum(begin + 1, len(text))] - 1, before[end]
+
+
+OFFSETS = ["byte_begins", "byte_ends", "char_begins", "char_ends"]
+
+
+def bpe(
+    docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text", offsets: bool = False
+) -> DataFrame:
+    """doc_id, ids, n_tokens, ids_sha256, decoded_sha256 of every document, and with ``offsets`` those of ``OFFSETS``."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = codec(path, pattern)
+        lengths = np.array([len(token) for token in known.table], dtype=np.int32)
+        ints = pa.list_(pa.int32())
         for batch in batches:
             begin = 0
             for group in _groups(batch):
                 rows = []
                 for ids in known.encode(group):
                     back = decode(ids.tolist(), known.table)
-                    rows.append((ids.astype(np.int32), hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest()))
-                ids, encoded, decoded = zip(*rows, strict=True)
-                columns = [pa.array(ids, pa.list_(pa.int32())), pa.array(encoded), pa.array(decoded)]
-                names = ["doc_id", "ids", "ids_sha256", "decoded_sha256"]
+                    spans = [part.astype(np.int32) for part in token_offsets(ids, back, lengths)] if offsets else []
+                    digests = hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest()
+                    rows.append((ids.astype(np.int32), *digests, *spans))
+                ids, encoded, decoded, *spans = zip(*rows, strict=True)
+                columns = [pa.array(ids, ints), pa.array(encoded), pa.array(decoded), *(pa.array(s, ints) for s in spans)]
+                names = ["doc_id", "ids", "ids_sha256", "decoded_sha256", *(OFFSETS if offsets else [])]
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(begin, len(group)), *columns], names)
                 begin += len(group)
 
     kind = docs.schema[id_column].dataType.simpleString()
     chosen = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    found = chosen.mapInArrow(encode, f"doc_id {kind}, ids array<int>, ids_sha256 string, decoded_sha256 string")
+    schema = f"doc_id {kind}, ids array<int>, ids_sha256 string, decoded_sha256 string"
+    schema += "".join(f", {name} array<int>" for name in OFFSETS) if offsets else ""
+    found = chosen.mapInArrow(encode, schema)
     return found.withColumn("n_tokens", F.size("ids").cast("long"))

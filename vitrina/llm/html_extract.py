@@ -1,7 +1,8 @@
 """HTML extraction: flat text blocks, classified by a decision tree.
 
 A page is read once from left to right.  Text between block-level tags is a block; inline
-tags stay inside.  A block is described by its number of words, its link density, the same of
+tags stay inside.  Scripts, styles and form controls are skipped; an element of theirs without an
+end tag hides nothing but itself, save a script or style.  A block is described by its number of words, its link density, the same of
 its neighbours, whether it is a heading, and what the nearest telling element around it is: an
 article or main element, or one that by tag or class holds menus, notices, adverts, comments
 and the like.  A decision tree, grown from the small labelled table ``LABELLED``, decides.
@@ -60,7 +61,12 @@ ASIDE_WORDS = frozenset(
     "copyright legal disclaimer form search skip complementary contentinfo".split()
 )
 MAIN_WORDS = frozenset("article content main story post entry body articlebody maincontent".split())
-NEITHER, MAIN, ASIDE = 0, 1, 2
+# Parts of a layout: an article inside a wrapper of such a name is the article all the same.
+LAYOUT_WORDS = frozenset("sidebar header masthead footer nav navbar navigation menu toolbar search social share widget banner tags skip".split())
+# A class like "has-sidebar" tells what is beside the content, not what it is.
+MODIFIERS = frozenset("has have with without no not show hide hidden toggle is on off enable disable contains".split())
+CUT_TO_THE_END = frozenset(("script", "style"))
+NEITHER, MAIN, ASIDE, WRAPPER = 0, 1, 2, 3
 
 
 class Block(NamedTuple):
@@ -180,22 +186,41 @@ def classify(node: Tree, features: list[float]) -> int:
     return node
 
 
+@functools.cache
+def _end_of(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.IGNORECASE)
+
+
+def _roles(value: str) -> Iterator[list[str]]:
+    """The words of each class name that tells a role of its own."""
+    for name in value.split():
+        words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
+        if words and words[0] not in MODIFIERS:
+            yield words
+
+
 def _place(tag: str, attributes: str, inside: int) -> int:
-    """What an element says about its content; ``inside`` is what is known from around it."""
+    """What an element says about its content; ``inside`` is what is known from around it.
+
+    ``WRAPPER`` is an aside by the name of a part of the layout: an article in it counts as one.
+    """
+    named = NEITHER
+    if attributes and tag not in ("html", "body"):
+        for found in MARK.findall(attributes):
+            for words in _roles("".join(found)):
+                aside = ASIDE_WORDS.intersection(words)
+                # A "post header" or "entry footer" in the article belongs to it only as a header.
+                if aside and not (inside == MAIN and aside == {"header"}):
+                    named = WRAPPER if aside <= LAYOUT_WORDS and named != ASIDE else ASIDE
+                elif named == NEITHER and not MAIN_WORDS.isdisjoint(words):
+                    named = MAIN
     if tag in MAIN_TAGS:
-        return inside if inside == ASIDE else MAIN
+        return inside if inside == ASIDE else ASIDE if named == ASIDE else MAIN
     if tag in ASIDE_TAGS or tag == "header" and inside != MAIN:
         return ASIDE
-    if attributes:
-        for found in MARK.findall(attributes):
-            names = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(found)).lower())
-            if not ASIDE_WORDS.isdisjoint(names) and tag not in ("html", "body"):
-                # A "post header" or "entry footer" in the article belongs to it only as a header.
-                if not (inside == MAIN and ASIDE_WORDS.intersection(names) == {"header"}):
-                    return ASIDE
-            if inside == NEITHER and not MAIN_WORDS.isdisjoint(names):
-                return MAIN
-    return inside
+    if named in (ASIDE, WRAPPER):
+        return ASIDE if named == ASIDE or inside == ASIDE else WRAPPER
+    return MAIN if named == MAIN and inside == NEITHER else inside
 
 
 def blocks(page: str) -> list[Block]:
@@ -206,6 +231,12 @@ def blocks(page: str) -> list[Block]:
     parts: list[str] = []
     linked: list[str] = []
     place, heading, link, at, n = NEITHER, 0, 0, 0, len(page)
+    endless: set[str] = set()  # tags of which no end is left, so that they are searched once
+    asides: list[tuple[str, int]] = []  # open-ended elements that are asides, with the depth they stand at
+
+    def leave(tag: str, level: int) -> None:
+        """An open-ended element ends: at its end tag, at the next of its kind, or with what it stands in."""
+        asides[:] = [(name, at_level) for name, at_level in asides if at_level < level or at_level == level and name != tag]
 
     def flush() -> None:
         if parts:
@@ -213,7 +244,8 @@ def blocks(page: str) -> list[Block]:
             if text:
                 words = text.count(" ") + 1
                 inside = len(html.unescape(" ".join(linked)).split())
-                found.append(Block(text, words, min(1.0, inside / words), heading, place))
+                where = ASIDE if asides or place == WRAPPER else place
+                found.append(Block(text, words, min(1.0, inside / words), heading, where))
             parts.clear()
             linked.clear()
 
@@ -237,11 +269,13 @@ def blocks(page: str) -> list[Block]:
         if tag in UNREAD and not closing:
             if not attributes.endswith("/"):
                 flush()
-                end = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(page, at)
+                end = None if tag in endless else _end_of(tag).search(page, at)
                 if end is not None:
                     at = end.end()
-                elif tag != "head":  # an unclosed head holds nothing but further tags
+                elif tag in CUT_TO_THE_END:
                     at = n
+                else:  # what follows an element that never ends is read
+                    endless.add(tag)
             continue
         if tag in INLINE:
             if tag == "a":
@@ -251,10 +285,11 @@ def blocks(page: str) -> list[Block]:
             continue
         flush()
         link = 0
-        if tag in HEADINGS:
-            heading = 0 if closing else 1
-        elif tag in OPEN_ENDED:
-            heading = 0
+        if tag in OPEN_ENDED:
+            heading = int(tag in HEADINGS and not closing)
+            leave(tag, len(stack))
+            if not closing and attributes and _place(tag, attributes, place) in (ASIDE, WRAPPER) and place != ASIDE:
+                asides.append((tag, len(stack)))
         elif closing:
             heading = 0
             while depth[tag]:
@@ -262,8 +297,10 @@ def blocks(page: str) -> list[Block]:
                 depth[name] -= 1
                 if name == tag:
                     break
+            asides[:] = [(name, level) for name, level in asides if level <= len(stack)]
         elif tag not in VOID and not attributes.endswith("/"):
             heading = 0
+            leave("p", len(stack))
             stack.append((tag, place))
             depth[tag] += 1
             place = _place(tag, attributes, place)
