@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrina.llm import bpe, exact_dedup, minhash, mixing, quality_classifier
+from vitrina.llm import bpe, exact_dedup, mixing, quality_classifier, simhash
 from vitrina.llm.queries import RANKS
 from vitrina.llm.text import prepared, read
 from vitrina.session import scratch_path
@@ -32,9 +32,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, Jaccard 0.8 or more): the one with the smallest doc_id."""
+    """One document of each group of near copies (fingerprints of three-word shingles that link at two bits): the one with the smallest doc_id."""
     prepared(spark)
-    return minhash.near_dedup(docs)
+    return simhash.near_dedup(docs, shingle=3, distance=2)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
