@@ -15,20 +15,23 @@ import tiktoken
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from vitrina.llm import (
     bpe,
     components,
+    divergence,
     exact_dedup,
     html_extract,
+    importance,
     line_dedup,
-    minhash,
     mixing,
     quality_classifier,
     quality_rules,
     sharding,
     simhash,
+    suffix_dedup,
     token_counts,
 )
 
@@ -66,10 +69,15 @@ def _operators(labels):
         "bpe": lambda d: bpe.bpe(d, RANKS, public_tokenizers.PATTERN),
         "exact": lambda d: exact_dedup.classes(d),
         "counts": lambda d: token_counts.token_counts(d, FILE),
+        "suffixes": lambda d: suffix_dedup.dedup(d),
+        "importance": lambda d: importance.resample(d, d),
     }
 
 
-@pytest.mark.parametrize("name", ["lines", "quality", "rules", "mix", "simhash", "shards", "bpe", "exact", "counts"])
+NAMES = ["lines", "quality", "rules", "mix", "simhash", "shards", "bpe", "exact", "counts", "suffixes", "importance"]
+
+
+@pytest.mark.parametrize("name", NAMES)
 def test_one_row_per_document_and_none_for_an_empty_table(name, docs, empty, labels):
     run = _operators(labels)[name]
     found = run(docs).collect()
@@ -83,6 +91,34 @@ def test_stages_keep_the_columns(docs, empty, labels):
         assert stage(empty).count() == 0
 
 
+INTERNAL = (
+    "spans top key row rank node band first turn draw shard size docs id hash text fp root u v anchor group_size kept name "
+    "label digest at begin end n word source_size target rounds a b c shards quota blocks score predicted held_out of_root"
+).split()
+
+
+def test_stages_survive_any_column_name(spark, labels):
+    """Input columns named like the inner columns of the operators come back as they are."""
+    extra = [name for name in INTERNAL if name != "text"]
+    columns = ", ".join(f"{name} string" for name in extra)
+    schema = f"doc_id long, text string, lang string, source string, n_chars long, {columns}"
+    rows = [(i, text, "en", "s", 1, *(f"{name}-{i}" for name in extra)) for i, text in enumerate(TEXTS[:-1])]
+    frame = spark.createDataFrame(rows, schema)
+    given = {row.doc_id: row.asDict() for row in frame.collect()}
+    stages = [exact_dedup.dedup, simhash.near_dedup, mixing.mixed, lambda d: quality_classifier.accepted(d, labels)]
+    for stage in stages:
+        found = stage(frame)
+        assert found.schema.names == frame.columns
+        for row in found.collect():
+            assert all(row[name] == given[row.doc_id][name] for name in extra)
+        assert stage(frame.limit(0)).count() == 0
+    for run in [suffix_dedup.dedup, lambda d: importance.resample(d, d)]:
+        assert run(frame).count() == frame.count()
+    # Two sources, so that there is a pair each way.
+    two = frame.unionByName(frame.limit(1).withColumn("source", F.lit("t")))
+    assert divergence.audit(two).where("part = 'pair'").count() == 2
+
+
 def test_lines_leave_when_enough_sites_share_them(spark):
     rows = [(i, f"own {i}\n Menu\nrare", f"s{i}") for i in range(6)] + [(9, None, None), (10, "", "s1"), (11, "menu", "s1")]
     rows += [(i, "twice", "s1") for i in range(20, 30)]
@@ -149,6 +185,58 @@ def test_extraction(spark):
     assert [row.text for row in found[1:]] == ["", "", "", ""]
 
 
+PROSE = "A long article sentence with quite many words in it, so that nobody could take it for a menu, number {}."
+
+
+def test_articles_are_not_lost():
+    one, two = PROSE.format("one"), PROSE.format("two")
+    both = f"{one}\n{two}"
+    text = html_extract.main_text
+    assert text(f"<div class='layout has-sidebar'><article><p>{one}</p><p>{two}</p></article></div>") == both
+    assert text(f"<div class=sidebar-wrap><article><p>{one}<p>{two}</article></div>") == both
+    assert text(f"<article><p>{one}</p><button>Buy<p>{two}</p></article>").endswith(two)
+    assert text(f"<article><p>{one}</p><svg><path d=1><p>{two}</p></article>").endswith(two)
+    assert text(f"<article><p>{one}<ul><li class=comment><p>{two}</p><li>{two}</ul></article>") == both
+    assert text(f"<article><p>{one}<p class='ad notice'>{two}<p>{two}</article>") == both
+    # What is an aside by its own role stays one, whatever stands in it.
+    assert text(f"<article><p>{one}</article><div class=comments><article><p>{two}</article></div>") == one
+    assert text(f"<article><p>{one}</article><aside><article><p>{two}</article></aside>") == one
+    assert text(f"<article><p>{one}<script>{two}") == one
+
+
+def test_extraction_takes_linear_time():
+    import time
+
+    for piece in ("<head>", "<button>", "</div>", "<li class=comment><p>", "<div class=ad>", "<!--", "<a href='"):
+        took = []
+        for n in (5_000, 40_000):
+            start = time.perf_counter()
+            html_extract.main_text(piece * n)
+            took.append(time.perf_counter() - start)
+        assert took[1] < 24 * took[0] + 0.5
+
+
+def test_extraction_of_empty_tables_and_long_pages(spark):
+    schema = "page_id long, url string, html string"
+    assert html_extract.extract(spark.createDataFrame([], schema)).count() == 0
+    page = "<article>" + "".join(f"<p>{PROSE.format(i)}" for i in range(20_000)) + "</article>"
+    (row,) = html_extract.extract(spark.createDataFrame([(1, "u", page)], schema)).collect()
+    assert row.text == "\n".join(PROSE.format(i) for i in range(20_000)) and row.n_chars == len(row.text)
+
+
+def test_small_corpora_meet_their_targets(spark):
+    frame = spark.createDataFrame([(1, "a b c", "x"), (2, "d e f", "y"), (3, None, "z")], "doc_id long, text string, source string")
+    found = mixing.mix(frame).collect()
+    assert sum(row.taken for row in found) == 6
+    assert all(abs(row.taken - row.target) <= 1 for row in found)
+
+
+def test_any_number_of_sources(spark):
+    frame = spark.range(30_000).selectExpr("id as doc_id", "'one two three' as text", "concat('host', id % 15000) as source")
+    totals = mixing.mix(frame).groupBy("source_size").agg({"taken": "sum", "target": "max"}).collect()
+    assert len(totals) == 1 and totals[0]["sum(taken)"] == 90_000
+
+
 def test_mixture_meets_its_targets(spark):
     rows = [(i, "w " * (5 + i % 40), f"s{i % 4}" if i % 4 or i < 40 else None) for i in range(2000)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
@@ -220,41 +308,54 @@ def test_links_find_all_pairs_within_two_bits(spark):
     assert {p: found.get(p, p) for p in prints} == root
 
 
-def _brute_shingles(text: str) -> frozenset:
-    words = text.lower().split()
-    return frozenset(tuple(words[i : i + 5]) for i in range(max(len(words) - 4, min(len(words), 1))))
-
-
-def _brute_kept(rows: list[tuple[int, str]]) -> set[int]:
-    """Smallest id of each component of all pairs of similarity 0.8 or more."""
-    sets, root = {i: _brute_shingles(text) for i, text in rows}, {i: i for i, _ in rows}
-    for a in sorted(sets):
-        for b in sorted(sets):
-            if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and root[a] != root[b]:
-                low, high = sorted([root[a], root[b]])
-                root = {i: low if r == high else r for i, r in root.items()}
-    return set(root.values())
-
-
-def test_near_stage_equals_all_pairs(spark):
-    rng = random.Random(7)
-    rows = []
-    for group in range(12):
-        base = [f"g{group}w{rng.randrange(400)}" for _ in range(100)]
-        for _ in range(12):
-            copy = list(base)
-            for _ in range(rng.randrange(7)):
-                copy[rng.randrange(100)] = f"x{rng.randrange(10**6)}"
-            rows.append((len(rows), " ".join(copy)))
-    rows += [(1000 + i, f"short {i % 3}") for i in range(6)] + [(1010, ""), (1011, "  ")]
-    expected = _brute_kept(rows)
+def test_anchors_are_needed(spark):
+    import numpy as np
+
+    draw = random.Random(9)
+    base = [draw.getrandbits(64) for _ in range(300)]
+    pairs = [(b, b ^ sum(1 << bit for bit in draw.sample(range(64), 2))) for b in base]
+    steps = simhash.flips(1)
+
+    def found(anchors_of) -> set:
+        rows = {(int(anchor), p) for pair in pairs for p in pair for anchor in anchors_of(p)}
+        anchors, prints = np.array(sorted(rows), dtype=np.uint64).T
+        return set(zip(*(x.tolist() for x in simhash.meetings(anchors, prints, steps)), strict=True))
+
+    expected = {(max(pair), min(pair)) for pair in pairs}
+    reach = found(lambda p: simhash.around(np.array([p], dtype=np.uint64), steps)[1][0])
+    own = found(lambda p: simhash.around(np.array([p], dtype=np.uint64), simhash.flips(0))[1][0])
+    assert reach == expected and own < expected and len(own) < 0.7 * len(expected)
+
+
+def test_crowded_anchors_give_the_same_components(spark):
+    draw = random.Random(4)
+    centre = draw.getrandbits(62)
+    prints = sorted({centre ^ sum(1 << bit for bit in draw.sample(range(62), draw.randrange(5))) for _ in range(400)})
+    frame = spark.createDataFrame([(p,) for p in prints], "fp long")
+    whole = {row.node: row.root for row in components.components(simhash.links(frame)).collect()}
+    dealt = {row.node: row.root for row in components.components(simhash.links(frame, crowd=3)).collect()}
+    assert whole == dealt and len(set(whole.values())) < len(whole)
+    wide = {row.node: row.root for row in components.components(simhash.links(frame, distance=4)).collect()}
+    root = {p: p for p in prints}
+    changed = True
+    while changed:
+        changed = False
+        for a in prints:
+            for b in prints:
+                if (a ^ b).bit_count() <= 4 and root[a] != root[b]:
+                    root[a] = root[b] = min(root[a], root[b])
+                    changed = True
+    assert {p: wide.get(p, p) for p in prints} == root
+    with pytest.raises(ValueError):
+        simhash.links(frame, distance=3)
+
+
+def test_near_stage_keeps_one_of_each_component(spark):
+    base = " ".join(f"w{i}" for i in range(300))
+    rows = [(5, base), (3, base), (9, base.upper()), (7, "other words here"), (8, None), (2, ""), (None, "a b"), (None, "a b")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    assert 20 < len(expected) < 130
-    assert {row.doc_id for row in corpus_pipeline.near(spark, frame, "").collect()} == expected
-    # The same with every band dealt over many small blocks.
-    assert {row.doc_id for row in minhash.near_dedup(frame, block=200).collect()} == expected
-    odd = spark.createDataFrame([(None, "a b"), (None, "a b"), (4, None), (5, " ")], "doc_id long, text string")
-    assert Counter(row.doc_id for row in minhash.near_dedup(odd).collect()) == Counter([None, 4])
+    kept = corpus_pipeline.near(spark, frame, "").collect()
+    assert Counter(row.doc_id for row in kept) == Counter([3, 7, 2, None])
 
 
 def test_jump_hash_and_slots(spark):
@@ -291,6 +392,22 @@ def test_bpe_is_exact_and_reversible(text):
     assert bpe.decode(ids.tolist(), known.table) == text.encode()
 
 
+def test_token_offsets(spark):
+    rows = [(1, "Ab \u4e2d\u6587\U0001f600 caf\u00e9!"), (2, ""), (3, None), (4, "\U0001f9d1\u200d\U0001f680" * 3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {row.doc_id: row for row in bpe.bpe(frame, RANKS, public_tokenizers.PATTERN, offsets=True).collect()}
+    table = bpe.codec(RANKS, public_tokenizers.PATTERN).table
+    split = False
+    for doc_id, text in rows:
+        row, raw = found[doc_id], (text or "").encode()
+        where = [len(raw[:i].decode("utf-8", "ignore")) for i in range(len(raw) + 1)]
+        assert row.byte_begins == [0, *row.byte_ends][: len(row.ids)] and (row.byte_ends or [0])[-1] == len(raw)
+        for i, begin, end, low, high in zip(row.ids, row.byte_begins, row.byte_ends, row.char_begins, row.char_ends, strict=True):
+            assert raw[begin:end] == table[i] and low == where[begin] and raw[begin:end] in text[low:high].encode()
+            split |= raw[begin:end] != text[low:high].encode()
+    assert split
+
+
 _cache: dict = {}
 
 
@@ -337,3 +454,144 @@ def test_exact_groups_with_a_heavy_hitter(spark):
     assert exact_dedup.dedup(frame, k=4).count() == len(groups)
     keys = frame.selectExpr("cast(lower(coalesce(text, '')) as binary) as key")
     assert [bytes(row.key) for row in exact_dedup.frequent(keys, 4).collect()] == [b"hot"]
+
+
+def _brute_removed(rows: list[tuple], length: int) -> dict:
+    """n_bytes, n_removed, n_spans, kept of each row; a place is (no id, id, start)."""
+    first: dict[bytes, tuple] = {}
+    for id_, text in rows:
+        raw = (text or "").encode()
+        for i in range(len(raw) - length + 1):
+            place = (id_ is None, id_ or 0, i)
+            first[raw[i : i + length]] = min(first.get(raw[i : i + length], place), place)
+    found = []
+    for id_, text in rows:
+        raw = (text or "").encode()
+        marked = bytearray(len(raw))
+        for i in range(len(raw) - length + 1):
+            if (id_ is None, id_ or 0, i) > first[raw[i : i + length]]:
+                marked[i : i + length] = b"\1" * length
+        spans = sum(1 for i in range(len(raw)) if marked[i] and not (i and marked[i - 1]))
+        found.append((id_, len(raw), sum(marked), spans, bytes(c for c, m in zip(raw, marked, strict=True) if not m)))
+    return Counter(found)
+
+
+@pytest.mark.parametrize("crowd, block, level", [(8192, 1 << 20, None), (2, 64, None), (1, 1, None)])
+def test_repeated_strings_leave(spark, crowd, block, level):
+    draw = random.Random(crowd)
+    phrases = ["".join(draw.choice("abc \u00e9") for _ in range(draw.choice([5, 20, 45]))) for _ in range(12)]
+    rows = [(i if i % 9 else None, "".join(draw.choice(phrases) for _ in range(draw.randrange(12)))) for i in range(60)]
+    rows += [(61, "a" * 400), (62, "b" + "a" * 300), (63, "ab" * 150), (64, ""), (65, None), (66, "\0" * 80), (66, "x" + "\0" * 70)]
+    rows += rows[2:5] + [(70, LONG[:20_000])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = suffix_dedup.dedup(frame, length=20, crowd=crowd, block=block).collect()
+    plain = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found)
+    assert plain == _brute_removed(rows, 20)
+    assert all(r.n_removed == sum(s.end - s.begin for s in r.spans) and r.n_spans == len(r.spans) for r in found)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.binary(max_size=120).map(lambda b: bytes(x % 3 * 97 for x in b)), st.integers(1, 30))
+def test_suffixes_are_sorted_and_prefixes_counted(raw, depth):
+    import numpy as np
+
+    text = np.frombuffer(raw, dtype=np.uint8)
+    order = suffix_dedup.suffix_order(text, depth).tolist()
+    heads = [(raw[i:] + bytes(depth))[:depth] for i in order]
+    assert sorted(order) == list(range(len(raw))) and heads == sorted(heads)
+    shared = suffix_dedup.common_prefixes(text, np.array(order, dtype=np.int64), depth).tolist()
+    for i in range(1, len(order)):
+        same = next((k for k in range(depth) if heads[i][k] != heads[i - 1][k]), depth)
+        assert shared[i] == same
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.binary(min_size=1, max_size=300), min_size=1, max_size=8))
+def test_position_table_gives_crc32(parts):
+    import numpy as np
+
+    sizes = np.array([len(p) for p in parts])
+    end = np.cumsum(sizes + 1) - 1
+    buffer = np.frombuffer(b"\xff".join(parts), dtype=np.uint8)
+    found = importance.checksums(buffer, end - sizes, end)
+    assert found.tolist() == [zlib.crc32(p) for p in parts]
+
+
+def test_features_of_long_texts_are_cut_without_loss(spark, monkeypatch):
+    import pyarrow as pa
+
+    text = " ".join(f"w{i % 50}\u00e9" for i in range(400)) + " " + "z" * 300 + " end"
+    batch = pa.RecordBatch.from_pydict({"text": ["One  two", None, text, "three"]})
+    whole = Counter((n, int(r), int(c)) for n, row, crc in importance.features(batch, 3) for r, c in zip(row, crc, strict=True))
+    monkeypatch.setattr(importance, "PART", 64)
+    parts = Counter((n, int(r), int(c)) for n, row, crc in importance.features(batch, 3) for r, c in zip(row, crc, strict=True))
+    assert whole == parts
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
+    assert Counter(c for n, r, c in whole.elements() if r == 2 and n == 2) == Counter(
+        zlib.crc32(" ".join(words[i : i + 2]).encode()) for i in range(len(words) - 1)
+    )
+
+
+def test_importance_of_odd_rows(spark):
+    rows = [(1, "a b " * 20), (1, "a b " * 20), (None, "a b " * 20), (2, None), (3, ""), (4, "c d " * 20), (5, "rare " * 19)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = importance.resample(frame, frame.where("doc_id = 4"), share=100).collect()
+    ranks = sorted(row.rank for row in found if row.rank is not None)
+    assert ranks == [1, 2, 3, 4] and all(row.rank is None and row.n_features in (0, 37) for row in found if row.doc_id in (2, 3, 5))
+    assert {row.weight > 0 for row in found if row.doc_id == 4} == {True}
+    ordered = sorted((row for row in found if row.rank), key=lambda row: row.rank)
+    assert [row.score for row in ordered] == sorted((row.score for row in ordered), reverse=True)
+    assert importance.resample(frame, frame.limit(0)).count() == len(rows)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 6), st.integers(1, 6)), max_size=60), st.integers(1, 5))
+def test_skyband_keeps_what_few_dominate(rows, top):
+    import numpy as np
+
+    n, lang_n = (np.array([r[i] for r in rows], dtype=np.int64) for i in range(2))
+    expected = [
+        i for i, (a, b) in enumerate(rows) if sum(1 for c, d in rows[:i] if c >= a and d <= b) < top
+    ]
+    assert divergence.undominated(n, lang_n, top).tolist() == expected
+
+
+def _brute_audit(rows: list[tuple], min_docs: int, top: int) -> set:
+    docs = [(lang or "", source or "", Counter(re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")))) for text, lang, source in rows]
+    found = set()
+    for lang in {d[0] for d in docs}:
+        mine = [d for d in docs if d[0] == lang]
+        held = Counter(term for d in mine for term in d[2])
+        kept = sorted(t for t in held if held[t] >= min_docs)
+        counts = {g: Counter() for g in {d[1] for d in mine}}
+        for _, source, words in mine:
+            counts[source].update({t: n for t, n in words.items() if held[t] >= min_docs})
+        total = sum(counts.values(), Counter())
+
+        def shares(c):
+            return {t: 1 + 10**9 * (c[t] + 1) // (sum(c.values()) + len(kept)) for t in kept}
+
+        p, q = {g: shares(c) for g, c in counts.items()}, shares(total)
+        for g in counts:
+            pairs = [(sum((p[g][t] - p[o][t]) ** 2 // p[o][t] for t in kept), o) for o in counts if o != g]
+            terms = [((p[g][t] - q[t]) ** 2 // q[t], t) for t in kept if counts[g][t] and p[g][t] > q[t]]
+            for part, items in (("pair", pairs), ("term", terms)):
+                ranked = sorted(items, key=lambda x: (-x[0], x[1].encode()))
+                found |= {(lang, g, part, item, value, i + 1) for i, (value, item) in enumerate(ranked) if part == "pair" or i < top}
+    return found
+
+
+def test_divergence_equals_brute_force(spark, monkeypatch):
+    draw = random.Random(2)
+    vocabulary = [f"{a}{b}\u00e9" for a in "abcdeXY" for b in "fghij"]
+    rows = [
+        (" ".join(draw.choice(vocabulary) for _ in range(draw.randrange(40))), draw.choice(["en", "de", None]), f"s{draw.randrange(9)}")
+        for _ in range(90)
+    ]
+    rows += [(None, "fr", "x"), ("", "fr", None), ("solo", "it", "y"), *rows[:3]]
+    frame = spark.createDataFrame(rows, "text string, lang string, source string").repartition(5)
+    expected = _brute_audit(rows, 3, 5)
+    for side, width in ((64, 2048), (2, 7)):
+        found = divergence.audit(frame, top=5, side=side, width=width).collect()
+        assert {tuple(row) for row in found} == expected and len(found) == len(expected)
+    assert divergence.audit(frame.limit(0)).count() == 0
