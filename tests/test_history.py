@@ -5,8 +5,9 @@ from datetime import date, datetime, timedelta
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from vitrina.operators import joins, scd
+from vitrina.operators import joins, rfm, scd
 
 PRODUCTS = "id_producto BIGINT, nombre_producto STRING, id_categoria BIGINT, nombre_categoria STRING, id_proveedor BIGINT, nombre_proveedor STRING, precio_unitario DOUBLE, costo_unitario DOUBLE, activo BOOLEAN"
 HISTORY = "id_historico_precio BIGINT, id_producto BIGINT, precio BIGINT, costo BIGINT, fecha_inicio DATE, fecha_fin DATE"
@@ -112,23 +113,62 @@ def test_audit_counts_versions(spark):
 @given(
     st.lists(st.tuples(st.integers(0, 400), st.integers(0, 200)), min_size=1, max_size=12),
     st.lists(st.integers(0, 600), min_size=1, max_size=20),
-    st.sampled_from([1, 3]),
+    st.sampled_from([1, 3, 64]),
 )
-def test_interval_join_equals_the_nested_loop(spark, windows, days, spread):
+def test_interval_join_equals_the_nested_loop(spark, windows, days, buckets):
     base = datetime(2021, 1, 20)
     wins = [(i, (base + timedelta(days=a)).date(), (base + timedelta(days=a + n)).date()) for i, (a, n) in enumerate(windows)]
     facts = [(i, base + timedelta(days=d, hours=i % 24)) for i, d in enumerate(days)]
     left = spark.createDataFrame(facts, "f BIGINT, t TIMESTAMP_NTZ")
     right = spark.createDataFrame(wins, "w BIGINT, a DATE, b DATE")
-    found = sorted((r.f, r.w) for r in joins.interval_join(left, "t", right, "a", "b", spread=spread).collect())
+    found = sorted((r.f, r.w) for r in joins.interval_join(left, "t", right, "a", "b", buckets=buckets).collect())
     midnight = datetime.min.time()
     assert found == sorted(
         (f, w) for f, t in facts for w, a, b in wins if datetime.combine(a, midnight) <= t <= datetime.combine(b, midnight)
     )
 
 
-def test_open_interval_needs_a_horizon(spark, rows):
+def test_open_intervals(spark, rows):
     left = spark.createDataFrame([(1, datetime(2021, 3, 1)), (2, datetime(2020, 1, 1))], "f BIGINT, t TIMESTAMP_NTZ")
     right = spark.createDataFrame([(7, date(2021, 1, 1), None), (8, date(1900, 1, 1), date(9999, 12, 31))], "w BIGINT, a DATE, b DATE")
-    horizon = left.selectExpr("min(t) AS lo", "max(t) AS hi")
-    assert rows(joins.interval_join(left, "t", right, "a", "b", horizon), "f", "w") == [(1, 7), (1, 8), (2, 8)]
+    assert rows(joins.interval_join(left, "t", right, "a", "b", open_end=True), "f", "w") == [(1, 7), (1, 8), (2, 8)]
+    assert rows(joins.interval_join(left, "t", right, "a", "b"), "f", "w") == [(1, 8), (2, 8)]
+    assert joins.interval_join(left.limit(0), "t", right, "a", "b", open_end=True).count() == 0
+
+
+def test_a_hot_day_fills_no_bucket(spark):
+    """95 % of the moments on one day, half of them at one instant: buckets stay near their equal share."""
+    day = "timestampadd(DAY, cast(id % 1000 as int), timestamp_ntz'2020-01-01')"
+    hot = "if(id % 2 = 0, timestamp_ntz'2021-05-05 12:00:00', timestampadd(SECOND, cast(id % 86400 as int), timestamp_ntz'2021-05-05'))"
+    facts = spark.range(40_000).selectExpr("id as f", f"if(id % 20 = 7, {day}, {hot}) as t")
+    windows = spark.createDataFrame([(1, date(2021, 5, 1), date(2021, 5, 9)), (2, date(2020, 1, 1), date(2020, 2, 1))], "w INT, a DATE, b DATE")
+    joined = joins.interval_join(facts, "t", windows, "a", "b", buckets=32)
+    expected = facts.join(windows, (F.col("a") <= F.col("t")) & (F.col("t") <= F.col("b"))).count()
+    assert joined.count() == expected
+    days = joins.day_buckets(facts, "t", 32)
+    sized = facts.withColumn("_dia", F.to_date("t")).join(days, "_dia")
+    part = F.pmod(F.xxhash64("f", "t"), F.col("_partes").cast("long"))
+    sizes = [r["n"] for r in sized.groupBy("_cubeta", part.alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) <= 2 * 40_000 / 32 and len(sizes) >= 16
+
+
+def test_a_month_of_changes_is_one_row(spark):
+    data = [(i, 1, date(2020, 1 + i % 3, 1 + i // 3)) for i in range(60)] + [(99, 2, date(2020, 5, 5)), (98, 2, None)]
+    df = spark.createDataFrame(data, "id BIGINT, p BIGINT, f DATE")
+    arrays = joins.change_arrays(df, "p", "f", "id")
+    assert sorted((r.p, len(r[joins.ROWS])) for r in arrays.collect()) == [(1, 20), (1, 20), (1, 20), (2, 1)]
+    found = {r.id: r.fin for r in joins.next_start(df, "p", "f", "id", "fin").collect()}
+    starts = sorted(f for _, p, f in data if p == 1)
+    assert all(found[i] == next((s for s in starts if s > f), None) for i, p, f in data if p == 1)
+    assert found[99] is None and 98 not in found
+
+
+def test_snapshots_follow_the_newest_order(spark):
+    orders = spark.createDataFrame([(1, 1, datetime(2005, 2, 3)), (2, 1, datetime(2005, 12, 31, 10))], "id_orden BIGINT, id_cliente BIGINT, fecha_orden TIMESTAMP_NTZ")
+    ends = orders.select(rfm.half_year_ends(orders, date(2004, 1, 31)).alias("d")).first().d
+    assert ends == [date(2004, 1, 31), date(2004, 6, 30), date(2004, 12, 31), date(2005, 6, 30), date(2005, 12, 31), date(2006, 6, 30)]
+    lines = spark.createDataFrame([(1, 5.0), (2, 7.0)], "id_orden BIGINT, subtotal DOUBLE")
+    customers = spark.createDataFrame([(1,)], "id_cliente BIGINT")
+    seen = rfm.rfm_as_of(customers, orders, lines, rfm.half_year_ends(orders, date(2004, 1, 31))).orderBy("corte").collect()
+    assert [(r.frecuencia, r.monto) for r in seen] == [(0, 0.0), (0, 0.0), (0, 0.0), (1, 5.0), (1, 5.0), (2, 12.0)]
+    assert [r.corte for r in rfm.rfm_as_of(customers, orders.limit(0), lines, rfm.half_year_ends(orders.limit(0), date(2004, 1, 31))).collect()][:1] == [date(2004, 1, 31)]

@@ -56,6 +56,6 @@ def test_entry_has_rows(spark):
 def test_only_model_fits_lack_sql():
     without = set(registry.QUERIES) - set(oracle.oracle_sql())
     assert without == {
-        "kmeans_elbow", "kmeans_segments", "cluster_profile", "churn_forest", "churn_importance", "churn_report",
+        "kmeans_elbow", "kmeans_best_k", "kmeans_segments", "cluster_profile", "churn_forest", "churn_importance", "churn_report",
         "churn_tree", "churn_cv",
     }

@@ -38,6 +38,27 @@ def catalog_tables(spark: SparkSession, database: str | None = None) -> dict[str
     return {t.name: spark.table(f"{database}.{t.name}" if database else t.name) for t in listed if not t.isTemporary}
 
 
+def catalog_listing(spark: SparkSession, database: str, counts: Mapping[str, int]) -> DataFrame:
+    """Ordered columns of the saved tables of a database, with comment, key flag and rows.
+
+    Read from the catalog; views and temporary views are no base tables and are left out.
+    """
+    listing = []
+    for table in spark.catalog.listTables(database):
+        if table.isTemporary or table.tableType == "VIEW":
+            continue
+        columns = [(c.name, c.description) for c in spark.catalog.listColumns(f"`{database}`.`{table.name}`")]
+        key = primary_key([name for name, _ in columns])
+        rows_ = next((n for name, n in counts.items() if name.lower() == table.name.lower()), None)
+        listing += [(table.name, i, name, note, name == key, rows_) for i, (name, note) in enumerate(columns, 1)]
+    return spark.createDataFrame(listing, "tabla STRING, posicion INT, columna STRING, comentario STRING, es_pk BOOLEAN, filas BIGINT")
+
+
+def commented(df: DataFrame, notes: Mapping[str, str]) -> DataFrame:
+    """The frame with comments on some columns, which a saved table keeps."""
+    return df.select(*[F.col(c).alias(c, metadata={"comment": notes[c]}) if c in notes else F.col(c) for c in df.columns])
+
+
 def selected[T](
     tables: Mapping[str, T], include: Collection[str] | None = None, exclude_prefixes: Sequence[str] = ()
 ) -> dict[str, T]:

@@ -1,6 +1,8 @@
 """Sales cube with five levels of detail.
 
-Distinct counts are not additive, so every level starts from the detail rows.
+Levels 2 to 4 come from one state: the lines added up per order and category.  An order has one
+day, so the orders of a category and a period are rows of the state, and those of a year are its
+distinct orders.  No line is repeated for the distinct counts or for the levels.
 """
 
 from __future__ import annotations
@@ -8,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrina.functions.measures import mean, rows, total
+from vitrina.functions.measures import exact_sum, mean, rows, total
 from vitrina.operators.facts import order_detail
 
+# Keys and measures of the levels are the columns of the cube tables.
 PRODUCT = ["id_producto", "id_categoria", "categoria"]
 CATEGORY = ["id_categoria", "categoria"]
 
@@ -28,6 +31,10 @@ DETAIL = [
 ]
 
 
+# What the levels above the detail read.
+READ = [*LEVELS[1], "id_orden", "cantidad", "subtotal", "descuento", "precio_unitario"]
+
+
 def cube_base(lines: DataFrame, orders: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
     """Detail rows with calendar fields and category; lines of unknown products stay."""
     category = products.select("id_producto", "id_categoria").join(
@@ -59,50 +66,97 @@ def _common() -> list[Column]:
     ]
 
 
-def _own(level: int) -> list[Column]:
-    return {
-        1: [F.avg("precio_unitario").alias("precio_promedio")],
-        2: [F.countDistinct("id_producto").alias("productos_distintos")],
-        3: [],
-        4: [F.countDistinct("id_categoria").alias("categorias_activas")],
-    }[level]
+STATE = [*CATEGORY, "anio", "mes", "trimestre"]
+
+
+def cube_state(base: DataFrame) -> DataFrame:
+    """Lines added up per order and category, the source of levels 2 to 4.
+
+    Rows of an order without a key belong together; unknown categories are a group of their own.
+    """
+    return base.groupBy("id_orden", *STATE).agg(
+        F.sum("cantidad").alias("_cantidad"),
+        exact_sum("subtotal").alias("_ventas"),
+        exact_sum("descuento").alias("_descuento"),
+        F.count("subtotal").alias("_lineas"),
+    )
+
+
+def level_of_state(state: DataFrame, level: int) -> DataFrame:
+    """Common measures of level 2, 3 or 4; groups with an unknown key are left out."""
+    keys = LEVELS[level]
+    # A category has one row per order; a year has several where an order has several categories.
+    seen = F.countDistinct("id_orden") if level == 4 else F.count("id_orden")
+    sales = exact_sum("_ventas").cast("double")
+    # Categories are few, which bounds the set of a year.
+    own = [F.size(F.collect_set("id_categoria")).cast("long").alias("categorias_activas")] if level == 4 else []
+    return state.na.drop(subset=keys).groupBy(*keys).agg(
+        F.sum("_cantidad").alias("cantidad_vendida"),
+        F.coalesce(sales, F.lit(0.0)).alias("ventas_totales"),
+        total("_descuento").alias("descuento_total"),
+        seen.alias("transacciones"),
+        F.try_divide(sales, F.sum("_lineas")).alias("ticket_promedio"),
+        *own,
+    )
+
 
+def _as_state(base: DataFrame) -> DataFrame:
+    """Each line as a row of a state, for a level that counts distinct orders anyway."""
+    one = F.col("subtotal").isNotNull().cast("long")
+    named = {"_cantidad": F.col("cantidad"), "_ventas": F.col("subtotal"), "_descuento": F.col("descuento"), "_lineas": one}
+    return base.select("id_orden", *STATE, *[value.alias(name) for name, value in named.items()])
 
-def cube_level(base: DataFrame, level: int) -> DataFrame:
-    """Level 0 is the detail; rows with an unknown group key belong to no group."""
+
+def _products(base: DataFrame) -> DataFrame:
+    """Distinct products of the groups of level 2, from distinct pairs."""
+    keys = LEVELS[2]
+    pairs = base.select(*keys, "id_producto").na.drop(subset=keys).distinct()
+    return pairs.groupBy(*keys).agg(F.count("id_producto").alias("productos_distintos"))
+
+
+def cube_level(base: DataFrame, level: int, state: DataFrame | None = None) -> DataFrame:
+    """Level 0 is the detail; rows with an unknown group key belong to no group.
+
+    ``state`` is the stored state of ``base``, where several levels are wanted.
+    """
     if level == 0:
         return base.select(*DETAIL, F.lit(0).alias("cubo_nivel"))
+    if level > 1:
+        if state is None:
+            state = _as_state(base) if level == 4 else cube_state(base)
+        out = level_of_state(state, level)
+        if level == 2:
+            out = out.join(_products(base), LEVELS[2])
+        if level == 4:
+            out = out.withColumn("categoria", F.lit("Todas"))
+        return out.withColumn("cubo_nivel", F.lit(level))
     keys = LEVELS[level]
-    out = base.na.drop(subset=keys).groupBy(*keys).agg(*_common(), *_own(level))
-    if level == 4:
-        out = out.withColumn("categoria", F.lit("Todas"))
+    out = base.na.drop(subset=keys).groupBy(*keys).agg(*_common(), F.avg("precio_unitario").alias("precio_promedio"))
     return out.withColumn("cubo_nivel", F.lit(level))
 
 
-def cube_grouping_sets(base: DataFrame) -> DataFrame:
-    """Levels 1 to 4 with their common measures from one pass over the detail."""
-    keys = LEVELS[1]
-    absent = {level: sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in LEVELS[level]) for level in LEVELS}
-    level = F.col("_id")
-    for number, mask in absent.items():
-        level = F.when(F.col("_id") == mask, number) if number == 1 else level.when(F.col("_id") == mask, number)
-    return (
-        base.na.drop(subset=keys)
-        .groupingSets([[F.col(k) for k in LEVELS[n]] for n in LEVELS], *[F.col(k) for k in keys])
-        .agg(*_common(), F.grouping_id().alias("_id"))
-        .withColumn("cubo_nivel", level)
-        .drop("_id")
-    )
-
+def cube_grouping_sets(base: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """Levels 1 to 4 with their common measures, of the lines whose product is known.
 
-def cube_reconcile(base: DataFrame) -> DataFrame:
-    """Rows and total sales per level; the totals must agree.
-
-    Reads the detail once per level, so ``base`` should be a stored table.
+    No row is repeated per level: level 1 counts each line once, the others merge one state.
     """
+    keys = LEVELS[1]
+    known = base.na.drop(subset=keys)
+    state = cube_state(base) if state is None else state
+    state = state.na.drop(subset=CATEGORY)
+    out = known.groupBy(*keys).agg(*_common()).withColumn("cubo_nivel", F.lit(1))
+    for level in (2, 3, 4):
+        part = level_of_state(state, level).drop("categorias_activas").withColumn("cubo_nivel", F.lit(level))
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+def cube_reconcile(base: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """Rows and total sales per level; the totals must agree."""
+    state = cube_state(base) if state is None else state
     parts = []
     for number in (0, *LEVELS):
-        out = cube_level(base, number)
+        out = cube_level(base, number, state)
         amount = "subtotal" if number == 0 else "ventas_totales"
         parts.append(out.agg(F.lit(number).alias("nivel"), rows().alias("filas"), total(amount).alias("ventas_totales")))
     union = parts[0]

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The columns of the order header and of the fact table.
 HEADER = ["id_cliente", "id_empleado", "id_tienda", "id_metodo_pago", "fecha_orden", "estado"]
 
 FACT = [

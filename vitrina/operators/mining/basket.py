@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import math
 
-from pyspark import StorageLevel
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,31 +39,26 @@ def frequent_itemsets(
     the baskets are built.  What remains is at most (mean basket size /
     min_support) items, which bounds every basket array whatever the order.
     """
-    spark = pairs.sparkSession
-    pairs = pairs.select(order, F.col(item).cast("string").alias(item)).persist(StorageLevel.MEMORY_AND_DISK)
-    arrays = None
-    try:
-        orders = pairs.agg(F.countDistinct(order)).head()[0]
-        needed = max(1, math.ceil(round(min_support * orders, 9)))
-        frequent = pairs.groupBy(item).agg(rows().alias("_n")).where(F.col("_n") >= needed).select(item)
-        arrays = baskets(pairs.join(frequent, item, "left_semi"), order, item)
-        arrays = arrays.select("items").persist(StorageLevel.MEMORY_AND_DISK)
-        kept = arrays.count()
-        if kept == 0:
-            return spark.createDataFrame([], ITEMSETS)
-        # The threshold is a number of orders; half a row below it keeps the rounding safe.
-        miner = FPGrowth(itemsCol="items", minSupport=min(1.0, (needed - 0.5) / kept))
-        found = miner.fit(arrays).freqItemsets.select(
-            F.sort_array("items").alias("items"),
-            F.col("freq").alias("frecuencia"),
-            (F.col("freq") / F.lit(orders)).alias("soporte"),
-        )
-        # Kept because the rules join the sets with themselves.
-        return stored(found)
-    finally:
-        pairs.unpersist()
-        if arrays is not None:
-            arrays.unpersist()
+    pairs = stored(pairs.select(order, F.col(item).cast("string").alias(item)), "pares")
+    # The threshold is a number of orders; the rounding keeps 0.03 * 100 at 3.
+    needed = F.ceil(F.round(pairs.agg(F.countDistinct(order)).scalar() * min_support, 9))
+    frequent = pairs.groupBy(item).agg(rows().alias("_n")).where(F.col("_n") >= F.greatest(needed, F.lit(1)))
+    frequent = frequent.select(item, F.lit(True).alias("_frecuente"))
+    # Orders without a frequent item stay as empty baskets, so that rows are orders.
+    kept = pairs.join(frequent, item, "left").select(order, F.when(F.col("_frecuente"), F.col(item)).alias("_item"))
+    arrays = stored(kept.groupBy(order).agg(F.sort_array(F.collect_set("_item")).alias("items")).select("items"), "canastas")
+    orders = arrays.count()  # from the metadata of the stored table
+    if orders == 0:
+        return pairs.sparkSession.createDataFrame([], ITEMSETS)
+    # Half an order below the threshold keeps the miner's own rounding safe.
+    share = (max(1, math.ceil(round(min_support * orders, 9))) - 0.5) / orders
+    found = FPGrowth(itemsCol="items", minSupport=min(1.0, share)).fit(arrays).freqItemsets.select(
+        F.sort_array("items").alias("items"),
+        F.col("freq").alias("frecuencia"),
+        (F.col("freq") / F.lit(orders)).alias("soporte"),
+    )
+    # Kept because the rules join the sets with themselves.
+    return stored(found, "conjuntos")
 
 
 def label(items: Column | str, first: int | None = None) -> Column:
@@ -72,31 +67,58 @@ def label(items: Column | str, first: int | None = None) -> Column:
     return F.concat_ws(", ", ordered if first is None else F.slice(ordered, 1, first))
 
 
-def association_rules(itemsets: DataFrame, min_lift: float = 1.0) -> DataFrame:
-    """Every split of a frequent set into antecedent and consequent.
+def _name(items: Column | str) -> Column:
+    return F.array_join(items, "\u0001")
+
+
+def _grown(splits: DataFrame, supports: DataFrame) -> DataFrame:
+    """Consequents with one more item, taken from the antecedent behind the last one; both sides must be known sets."""
+    rest = F.filter("antecedente", lambda x: F.col("consecuente").isNull() | (x > F.element_at("consecuente", -1)))
+    moved = splits.select("soporte", "antecedente", "consecuente", F.explode(rest).alias("_x")).select(
+        "soporte",
+        F.filter("antecedente", lambda x: x != F.col("_x")).alias("antecedente"),
+        F.concat(F.coalesce("consecuente", F.array().cast("array<string>")), F.array("_x")).alias("consecuente"),
+    )
+    for side, name in (("antecedente", "soporte_a"), ("consecuente", "soporte_c")):
+        known = supports.select(F.col("_k").alias("_s"), F.col("soporte").alias(name))
+        moved = moved.withColumn("_s", _name(side)).join(known, "_s").drop("_s")
+    return moved
+
 
-    Each proper subset is named by a bit mask; all of them are frequent too, so
-    their supports are found by joining the item sets with themselves by name.
+def splits_of(itemsets: DataFrame) -> DataFrame:
+    """Every split of a set into two known sets, with the supports of both.
+
+    Level by level: a consequent of n + 1 items comes from one of n, by a join with the sets by
+    name, and only up to half of a set, since a split read backwards is one too.  A row gives at
+    most as many rows as its set has items, whatever the size of the set.
     """
-    named = itemsets.withColumn("_k", F.array_join("items", "\u0001"))
-    support = named.select("_k", "soporte")
-    one = F.lit(1).cast("long")
-    masks = F.sequence(one, F.call_function("shiftleft", one, F.size("items")) - 2)
-
-    def picked(bit: int) -> Column:
-        return F.filter("items", lambda _, i: F.getbit("_mask", i) == bit)
-
-    splits = (
-        named.where(F.size("items") > 1)
-        .select("items", "soporte", F.explode(masks).alias("_mask"))
-        .select("soporte", picked(1).alias("antecedente"), picked(0).alias("consecuente"))
-        .withColumns(
-            {"_a": F.array_join("antecedente", "\u0001"), "_c": F.array_join("consecuente", "\u0001")}
+    supports = itemsets.select(_name("items").alias("_k"), "soporte")
+    sets = itemsets.where(F.size("items") > 1)
+    largest = sets.agg(F.max(F.size("items"))).first()[0] or 0
+    level = sets.select("soporte", F.col("items").alias("antecedente"), F.lit(None).cast("array<string>").alias("consecuente"))
+    found = []
+    for taken in range(1, largest // 2 + 1):
+        open_ = level.where(F.size("antecedente") + taken - 1 >= 2 * taken)
+        level = _grown(open_, supports)
+        if taken > 1 or largest > 3:
+            level = stored(level, "particiones")  # the next level starts from it
+        backwards = level.where(F.size("antecedente") > taken).select(
+            "soporte",
+            F.col("consecuente").alias("antecedente"),
+            F.col("antecedente").alias("consecuente"),
+            F.col("soporte_c").alias("soporte_a"),
+            F.col("soporte_a").alias("soporte_c"),
         )
-    )
-    joined = splits.join(support.select(F.col("_k").alias("_a"), F.col("soporte").alias("soporte_a")), "_a").join(
-        support.select(F.col("_k").alias("_c"), F.col("soporte").alias("soporte_c")), "_c"
-    )
+        found += [level, backwards]
+        level = level.drop("soporte_a", "soporte_c")
+    if not found:
+        return itemsets.limit(0).select("soporte", F.col("items").alias("antecedente"), F.col("items").alias("consecuente"), F.lit(0.0).alias("soporte_a"), F.lit(0.0).alias("soporte_c"))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def association_rules(itemsets: DataFrame, min_lift: float = 1.0) -> DataFrame:
+    """Every split of a frequent set into antecedent and consequent; items of a set are sorted."""
+    joined = splits_of(itemsets)
     confidence = F.col("soporte") / F.col("soporte_a")
     return (
         joined.withColumn("confianza", confidence)
@@ -115,12 +137,12 @@ def association_rules(itemsets: DataFrame, min_lift: float = 1.0) -> DataFrame:
     )
 
 
-def top_itemsets(itemsets: DataFrame, n: int = 10) -> DataFrame:
-    """The most frequent sets with their size and text label."""
+def top_itemsets(itemsets: DataFrame, n: int = 10, first: int | None = None) -> DataFrame:
+    """The most frequent sets with their size and text label; ``first`` shortens the label to so many items."""
     shown = itemsets.select(
-        label("items").alias("etiqueta"), F.size("items").alias("num_items"), "frecuencia", "soporte"
+        label("items", first).alias("etiqueta"), F.size("items").alias("num_items"), "frecuencia", "soporte", label("items").alias("_todos")
     )
-    return shown.orderBy(F.desc("frecuencia"), "etiqueta").limit(n)
+    return shown.orderBy(F.desc("frecuencia"), "_todos").limit(n).drop("_todos")
 
 
 def top_rules(rules: DataFrame, n: int = 5) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -76,8 +76,20 @@ def customer_activity(orders: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
-def rfm_as_of(customers: DataFrame, orders: DataFrame, lines: DataFrame, cutoffs: Sequence[date]) -> DataFrame:
-    """RFM of every customer at midnight of every cutoff date.
+def half_year_ends(orders: DataFrame, first: date) -> Column:
+    """``first`` and the half-year ends after it, up to the first whose midnight sees every order; an array of dates."""
+    newest = F.coalesce(F.max("fecha_orden"), F.lit(first).cast("timestamp_ntz")).alias("_ultima")
+    half = F.last_day(F.make_date(F.year("_ultima"), F.when(F.month("_ultima") <= 6, 6).otherwise(12), F.lit(1)))
+    last = F.when(half.cast("timestamp_ntz") >= F.col("_ultima"), half).otherwise(F.last_day(F.add_months(half, 6)))
+    month = 6 if (first.month, first.day) < (6, 30) else 12
+    start = F.last_day(F.lit(date(first.year, month, 1)))
+    later = F.sequence(start, F.greatest(last, start), F.expr("interval 6 months"))
+    ends = F.concat(F.array(F.lit(first)), F.transform(later, lambda day: F.last_day(day)))
+    return orders.agg(newest).select(ends).scalar()
+
+
+def rfm_as_of(customers: DataFrame, orders: DataFrame, lines: DataFrame, cutoffs: Sequence[date] | Column) -> DataFrame:
+    """RFM of every customer at midnight of every cutoff date (dates, or an ascending array of them).
 
     Each order is reduced to its amount and to the first cutoff that sees it, then each
     customer to one row per such cutoff (combined on the map side); running values over
@@ -85,13 +97,13 @@ def rfm_as_of(customers: DataFrame, orders: DataFrame, lines: DataFrame, cutoffs
     most two rows per cutoff, and the plan is the same for any number of cutoffs.  Repeated
     order rows count once.  Customers without an order up to a cutoff get recency 999 and zeros.
     """
-    cutoffs = sorted(cutoffs)
-    days = F.array(*map(F.lit, cutoffs))
-    first = F.size(F.filter(days, lambda day: day.cast("timestamp_ntz") < F.col("fecha_orden")))
+    days = cutoffs if isinstance(cutoffs, Column) else F.array(*map(F.lit, sorted(cutoffs)))
+    first = F.size(F.filter("_cortes", lambda day: day.cast("timestamp_ntz") < F.col("fecha_orden")))
     once = (
         orders.where(F.col("id_cliente").isNotNull() & F.col("fecha_orden").isNotNull())
-        .select("id_orden", "id_cliente", "fecha_orden", first.alias("corte_n"))
-        .where(F.col("corte_n") < len(cutoffs))
+        .withColumn("_cortes", days)
+        .select("id_orden", "id_cliente", "fecha_orden", first.alias("corte_n"), F.size("_cortes").alias("_n_cortes"))
+        .where(F.col("corte_n") < F.col("_n_cortes"))
         .join(order_amounts(lines), "id_orden", "left")
         .groupBy("id_orden", "id_cliente")
         .agg(F.max("fecha_orden").alias("fecha"), F.max("corte_n").alias("corte_n"), F.max("monto").alias("monto"))

@@ -11,16 +11,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from vitrina.functions.measures import guarded_margin_pct, rows
 from vitrina.functions.rules import SNAPSHOT_RULE, SegmentRule, rfm_segment
-from vitrina.operators.joins import latest_by, next_start
+from vitrina.operators.joins import NEXT, ROWS, change_arrays, latest_by, next_start
 from vitrina.operators.keys import dense_keys
 from vitrina.operators.rfm import rfm_as_of
-from vitrina.session import stored
 
 # First load date and the end date of an open version.
 FIRST_DAY = date(2023, 1, 1)
@@ -50,31 +49,32 @@ def scd2_product(
 ) -> DataFrame:
     """Versions of the product dimension ``products`` from its price change log.
 
-    ``history`` should be a stored table.  A product meets its changes in one
-    inner join, whose hot side can be split; products without a change are added.
+    One pass over the log: the changes of a product and month are one array, which knows the
+    start of the change after it, so that the end, the current row and the list-price fallback
+    come from the same rows.  Products meet those arrays, not single changes.  An end that the
+    log itself states (``fecha_fin``) counts unless ``strict``.
     """
-    ends = price_validity(history.drop("fecha_fin")) if strict else history
-    latest = latest_by(history, "id_producto", ["fecha_inicio", "id_historico_precio"], ["precio"]).select(
-        "id_producto", F.col("fecha_inicio").alias("_inicio_ultimo"), F.col("id_historico_precio").alias("_id_ultimo")
-    )
-    named = stored(
-        products.select(
-            "id_producto", "nombre_producto", "id_categoria", "nombre_categoria", "id_proveedor", "nombre_proveedor",
-            "precio_unitario", "costo_unitario", "activo",
-        ).join(latest, "id_producto", "left")
+    given = not strict and "fecha_fin" in history.columns
+    log = history.select("id_producto", "fecha_inicio", "id_historico_precio", "precio", "costo", *(["fecha_fin"] if given else []))
+    arrays = change_arrays(log, "id_producto", "fecha_inicio", "id_historico_precio")
+    if given:
+        last = F.max(F.element_at(ROWS, -1)["fecha_inicio"]).over(W.partitionBy("id_producto"))
+        arrays = arrays.withColumn("_inicio_ultimo", last)
+    named = products.select(
+        "id_producto", "nombre_producto", "id_categoria", "nombre_categoria", "id_proveedor", "nombre_proveedor",
+        "precio_unitario", "costo_unitario", "activo",
     )
-    change = ends.select(
-        "id_producto",
-        F.col("id_historico_precio").alias("_id"),
-        F.col("precio").cast("double").alias("_precio"),
-        F.col("costo").cast("double").alias("_costo"),
-        F.to_date("fecha_inicio").alias("_inicio"),
-        F.to_date("fecha_fin").alias("_fin"),
+    joined = named.join(arrays, "id_producto", "left").select("*", F.explode_outer(ROWS).alias("_c"))
+    rows_ = joined.select(
+        *named.columns,
+        F.col("_c.id_historico_precio").alias("_id"),
+        F.col("_c.precio").cast("double").alias("_precio"),
+        F.col("_c.costo").cast("double").alias("_costo"),
+        F.to_date("_c.fecha_inicio").alias("_inicio"),
+        (F.to_date(F.coalesce("_c.fecha_fin", "_inicio_ultimo")) if given else F.to_date(f"_c.{NEXT}")).alias("_fin"),
+        F.col(f"_c.{NEXT}").isNull().alias("_es_ultimo"),
     )
-    changed = named.join(change, "id_producto")
-    unchanged = named.where(F.col("_id_ultimo").isNull())
-    rows_ = changed.unionByName(unchanged, allowMissingColumns=True)
-    is_now = F.col("_id").isNull() | (F.col("_id") == F.col("_id_ultimo"))
+    is_now = F.col("_es_ultimo")
     since = F.coalesce("_inicio", F.lit(first_day))
     price, cost = F.coalesce("_precio", "precio_unitario"), F.coalesce("_costo", "costo_unitario")
     versions = rows_.select(
@@ -89,7 +89,7 @@ def scd2_product(
         guarded_margin_pct(price, cost).alias("margen_pct"),
         "activo",
         (since if strict else F.when(is_now, F.lit(first_day)).otherwise(since)).alias("fecha_inicio"),
-        F.when(is_now, F.lit(OPEN_END)).otherwise(F.coalesce("_fin", "_inicio_ultimo")).alias("fecha_fin"),
+        F.when(is_now, F.lit(OPEN_END)).otherwise(F.col("_fin")).alias("fecha_fin"),
         is_now.cast("int").alias("es_actual"),
         F.coalesce("_id", F.lit(0)).alias("_orden"),
     )
@@ -101,7 +101,7 @@ def segment_history(
     customers: DataFrame,
     orders: DataFrame,
     lines: DataFrame,
-    cutoffs: Sequence[date],
+    cutoffs: Sequence[date] | Column,
     rule: SegmentRule = SNAPSHOT_RULE,
     strict: bool = False,
 ) -> DataFrame:
@@ -129,7 +129,7 @@ def scd2_customer(
     cities: DataFrame,
     orders: DataFrame,
     lines: DataFrame,
-    cutoffs: Sequence[date],
+    cutoffs: Sequence[date] | Column,
     rule: SegmentRule = SNAPSHOT_RULE,
     strict: bool = False,
 ) -> DataFrame:

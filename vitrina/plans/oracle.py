@@ -9,7 +9,6 @@ from __future__ import annotations
 import re
 
 from vitrina.plans import parameters as P
-_cutoffs = ", ".join(f"(DATE '{d}')" for d in P.CUTOFFS)
 _risky = ", ".join(f"'{c}'" for c in P.RISKY_CATEGORIES)
 
 
@@ -172,7 +171,12 @@ VIEWS: dict[str, str] = {
         SELECT p.id_producto, coalesce(u.precio, p.precio_unitario) AS precio, coalesce(u.costo, p.costo_unitario) AS costo,
                u.fecha_inicio, u.id_historico_precio
         FROM v_producto p LEFT JOIN ultimo u USING (id_producto)""",
-    "corte": f"SELECT * FROM (VALUES {_cutoffs}) AS t(corte)",
+    "corte": f"""
+        SELECT DATE '{P.FIRST_CUTOFF}' AS corte
+        UNION ALL
+        SELECT e FROM (SELECT e, lag(e) OVER (ORDER BY e) AS previo FROM (
+            SELECT make_date(y, m, d) AS e FROM range({P.FIRST_CUTOFF.year}, 2200) a(y), (VALUES (6, 30), (12, 31)) b(m, d)))
+        WHERE previo IS NULL OR CAST(previo AS TIMESTAMP) < (SELECT max(fecha_orden) FROM v_orden)""",
     "rfm_corte": """
         SELECT c.id_cliente, corte,
                coalesce(date_sub('day', max(fecha_orden), CAST(corte AS TIMESTAMP)), 999) AS recency,
@@ -454,6 +458,83 @@ _promo = """
         FROM v_orden JOIN v_promocion ON fecha_orden >= fecha_inicio AND (fecha_orden <= fecha_fin OR fecha_fin IS NULL)
         WHERE activa"""
 VIEWS["promo"] = _promo
+VIEWS["escalado"] = """
+        SELECT id_cliente, segmento_rfm, monto_total,
+               (recency - avg(recency) OVER ()) / stddev_pop(recency) OVER () AS x,
+               (frecuencia - avg(frecuencia) OVER ()) / stddev_pop(frecuencia) OVER () AS y,
+               (monto_total - avg(monto_total) OVER ()) / stddev_pop(monto_total) OVER () AS z
+        FROM dim_cliente"""
+VIEWS["bandas"] = f"""
+        SELECT e.*, k, CAST(least(k - 1, floor((monto_total - lo) / ((hi - lo) / CAST(k AS DOUBLE)))) AS INTEGER) AS c
+        FROM escalado e, (SELECT min(monto_total) AS lo, max(monto_total) AS hi FROM escalado) m,
+             (VALUES {", ".join(f"({k})" for k in P.BANDS)}) AS t(k)"""
+
+
+def _inertia(source: str, keys: str) -> str:
+    return f"""
+        SELECT {keys}, count(*) AS n,
+               sum((x - mx) * (x - mx) + (y - my) * (y - my) + (z - mz) * (z - mz)) AS inercia
+        FROM (SELECT *, avg(x) OVER p AS mx, avg(y) OVER p AS my, avg(z) OVER p AS mz FROM {source}
+              WINDOW p AS (PARTITION BY {keys})) GROUP BY {keys}"""
+
+
+def _silhouette(source: str, family: str, cluster: str) -> str:
+    """Every point against every other; its own cluster without itself."""
+    near = "(a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z)"
+    return f"""
+        SELECT f, g, CASE WHEN own IS NULL OR other IS NULL THEN 0
+                          ELSE coalesce((other - own) / nullif(greatest(other, own), 0), 0) END AS s
+        FROM (SELECT f, g, id_cliente, max(d) FILTER (g = h) AS own, min(d) FILTER (g <> h) AS other FROM (
+                SELECT a.{family} AS f, a.{cluster} AS g, a.id_cliente, b.{cluster} AS h,
+                       sum({near}) / nullif(count(*) - CASE WHEN any_value(a.{cluster} = b.{cluster}) THEN 1 ELSE 0 END, 0) AS d
+                FROM {source} a JOIN {source} b ON a.{family} = b.{family} GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3)"""
+
+
+VIEWS["un_grupo"] = "SELECT *, 1 AS uno FROM escalado"
+VIEWS["silueta_segmento"] = _silhouette("un_grupo", "uno", "segmento_rfm")
+VIEWS["silueta_banda"] = _silhouette("bandas", "k", "c")
+VIEWS["inercia_banda"] = _inertia("bandas", "k, c")
+VIEWS["codo_banda"] = """
+        SELECT i.k, round(i.v, 4) AS inercia, round(s.v, 6) AS silueta
+        FROM (SELECT k, sum(inercia) AS v FROM inercia_banda GROUP BY k) i
+             JOIN (SELECT f, avg(s) AS v FROM silueta_banda GROUP BY f) s ON s.f = i.k"""
+VIEWS["rasgos"] = """
+        SELECT c.id_cliente, c.recency, c.frecuencia, c.monto_total,
+               coalesce(h.devueltas / CAST(nullif(h.lineas, 0) AS DOUBLE), 0) AS tasa,
+               coalesce(h.dias, 0) AS dias, CAST(c.recency > 180 AS INTEGER) AS churn
+        FROM dim_cliente c LEFT JOIN (
+            SELECT o.id_cliente, count(d.id_orden) AS lineas, count(*) FILTER (d.devuelto) AS devueltas,
+                   date_sub('day', min(o.fecha_orden), (SELECT max(fecha_orden) FROM v_orden)) AS dias
+            FROM v_orden o LEFT JOIN v_detalle d USING (id_orden) GROUP BY o.id_cliente) h USING (id_cliente)"""
+
+
+def _path(node: int, before: list[int]) -> str:
+    """The fixed tree as nested cases that name the way to the leaf."""
+    _, _, _, feature, limit, _ = P.TREE[node]
+    way = [*before, node]
+    if feature is None:
+        return f"{way}"
+    low, high = (next(n[0] for n in P.TREE if n[1] == node and n[2] == side) for side in ("<=", ">"))
+    column = {"tasa_devolucion": "tasa", "dias_desde_registro": "dias"}.get(feature, feature)
+    return f"CASE WHEN {column} <= {limit} THEN {_path(low, way)} ELSE {_path(high, way)} END"
+
+
+def _value(v: object) -> str:
+    return "NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v)
+
+
+VIEWS["arbol"] = "SELECT * FROM (VALUES " + ", ".join(f"({', '.join(map(_value, n))})" for n in P.TREE) + """
+        ) AS t(nodo, padre, lado, feature, limite, prediccion)"""
+VIEWS["camino"] = f"SELECT *, {_path(0, [])} AS ruta FROM rasgos"
+VIEWS["nodos"] = """
+        SELECT a.nodo, a.padre, a.lado, a.feature, CAST(a.limite AS DOUBLE) AS limite, coalesce(n, 0) AS filas,
+               coalesce(si, 0) AS positivos, coalesce(2 * (si / CAST(n AS DOUBLE)) * (1 - si / CAST(n AS DOUBLE)), 0) AS gini
+        FROM arbol a LEFT JOIN (SELECT nodo, count(*) AS n, CAST(sum(churn) AS BIGINT) AS si
+                                FROM (SELECT unnest(ruta) AS nodo, churn FROM camino) GROUP BY nodo) USING (nodo)"""
+VIEWS["ganancia"] = """
+        SELECT p.feature, sum(p.filas * p.gini - h.quedan) AS g
+        FROM nodos p JOIN (SELECT padre, sum(filas * gini) AS quedan FROM nodos GROUP BY padre) h ON h.padre = p.nodo
+        GROUP BY p.feature"""
 VIEWS["regla_fija"] = f"""
         SELECT CAST(recency > 180 AS INTEGER) AS y, CAST(frecuencia < {P.ORDERS_RULE} AS INTEGER) AS p FROM dim_cliente"""
 VIEWS["por_clase"] = """
@@ -650,6 +731,29 @@ SQL: dict[str, str] = {
                round((frecuencia - avg(frecuencia) OVER ()) / stddev_pop(frecuencia) OVER (), 6) AS frecuencia_z,
                round((monto_total - avg(monto_total) OVER ()) / stddev_pop(monto_total) OVER (), 6) AS monto_total_z
         FROM dim_cliente""",
+    "segment_inertia": f"""
+        SELECT segmento_rfm, n AS clientes, round(inercia, 4) AS inercia FROM ({_inertia("escalado", "segmento_rfm")})""",
+    "segment_silhouette": """
+        SELECT g AS segmento_rfm, count(*) AS clientes, round(avg(s), 6) AS silueta FROM silueta_segmento GROUP BY g""",
+    "segment_profile": """
+        SELECT segmento_rfm AS cluster, count(*) AS clientes, round_even(avg(recency), 1) AS recency_media,
+               round_even(avg(frecuencia), 1) AS frecuencia_media, round_even(avg(monto_total), 1) AS monto_total_media
+        FROM dim_cliente GROUP BY segmento_rfm""",
+    "band_elbow": "SELECT CAST(k AS INTEGER) AS k, inercia, silueta FROM codo_banda",
+    "band_best_k": "SELECT CAST(k AS INTEGER) AS k, silueta FROM codo_banda ORDER BY silueta DESC, k LIMIT 1",
+    "tree_predictions": """
+        SELECT id_cliente, churn, CAST(prediccion AS INTEGER) AS prediccion, CAST(ruta[-1] AS INTEGER) AS hoja
+        FROM camino JOIN arbol ON nodo = ruta[-1]""",
+    "tree_nodes": "SELECT * REPLACE (round(gini, 6) AS gini) FROM nodos",
+    "tree_importance": """
+        SELECT f AS feature, round(coalesce(g / (SELECT sum(g) FROM ganancia), 0), 6) AS importancia
+        FROM (VALUES ('recency'), ('frecuencia'), ('monto_total'), ('tasa_devolucion'), ('dias_desde_registro')) t(f)
+             LEFT JOIN ganancia ON feature = f""",
+    "tree_fold_accuracy": f"""
+        SELECT fold, count(*) AS filas, round(avg(CASE WHEN churn = prediccion THEN 1.0 ELSE 0.0 END), 6) AS exactitud
+        FROM (SELECT c.churn, a.prediccion, CAST((row_number() OVER (PARTITION BY c.churn
+                       ORDER BY substr(md5(c.id_cliente || '-{P.SEED}'), 1, 8), c.id_cliente) - 1) % {P.FOLDS} AS INTEGER) AS fold
+              FROM camino c JOIN arbol a ON a.nodo = c.ruta[-1]) GROUP BY fold""",
     "churn_label": "SELECT id_cliente, recency, CAST(recency > 180 AS INTEGER) AS churn FROM dim_cliente",
     "churn_rate": """
         SELECT count(*) AS clientes, count(*) FILTER (recency > 180) AS positivos,
@@ -761,6 +865,10 @@ SQL: dict[str, str] = {
                round(soporte, 6) AS soporte, round(confianza, 6) AS confianza, round(lift, 6) AS lift
         FROM reglas ORDER BY round(reglas.lift, 9) DESC, reglas.soporte DESC, antecedente, consecuente LIMIT 5""",
 }
+SQL["itemset_chart_labels"] = f"""
+        SELECT array_to_string(s[1:{P.CHART_ITEMS}], ', ') AS etiqueta, CAST(len(s) AS INTEGER) AS num_items, c AS frecuencia,
+               round(soporte, 6) AS soporte
+        FROM conjuntos ORDER BY c DESC, array_to_string(s, ', ') LIMIT {P.CHART_SETS}"""
 SQL["frequent_itemsets_category"] = SQL["frequent_itemsets"]
 SQL["association_rules_brand"] = SQL["association_rules"]
 
@@ -788,6 +896,46 @@ SQL["warehouse_listing"] = f"""
         SELECT c.*, n.filas FROM (VALUES {_scd1_columns}) AS c(tabla, posicion, columna, es_pk)
              JOIN ({_stored}) n USING (tabla)"""
 SQL["stored_star_pivot"] = SQL["olap_pivot"]
+SQL["files_star_pivot"] = SQL["olap_pivot"].replace(
+    " FROM star",
+    """ FROM (SELECT s.* REPLACE (round_even(s.precio_unitario * CAST(s.cantidad AS DOUBLE) * (1 - s.descuento), 0) AS subtotal) FROM star s)""",
+)
+SQL["files_return_rate"] = """
+        SELECT t.id_tienda, count(*) AS lineas, count(r.id_orden) AS devueltas,
+               CAST(sum(CAST(round_even(d.precio_unitario * CAST(d.cantidad AS DOUBLE) * (1 - d.descuento), 0) AS BIGINT)) AS BIGINT) AS ventas
+        FROM v_detalle d JOIN (SELECT id_orden, min(id_tienda) AS id_tienda FROM v_detalle GROUP BY id_orden) t USING (id_orden)
+             LEFT JOIN (SELECT DISTINCT id_orden, id_producto FROM v_detalle WHERE devuelto) r USING (id_orden, id_producto)
+        GROUP BY t.id_tienda"""
+SQL["stored_star_join"] = """
+        SELECT id_detalle, id_orden, id_producto, id_cliente, id_tienda, anio, mes, trimestre, nombre_categoria, margen_pct,
+               tipo_tienda, ciudad_tienda, zona_tienda, cantidad, CAST(subtotal AS DOUBLE) AS subtotal FROM star"""
+_keys = {
+    "Dim_Tiempo": ("dim_tiempo", "id_tiempo"),
+    "Dim_Producto": ("dim_producto", "id_producto"),
+    "Dim_Tienda": ("dim_tienda", "id_tienda"),
+    "Dim_Empleado": ("dim_empleado_inner", "id_empleado"),
+    "Dim_MetodoPago": ("v_metodo_pago", "id_metodo_pago"),
+    "Fact_Ventas": ("fact", "id_detalle"),
+}
+SQL["load_metrics"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS tabla, count(*) AS filas, count(*) FILTER ({key} IS NULL) AS claves_nulas, "
+    f"CAST({'sum(subtotal)' if t == 'Fact_Ventas' else 'NULL'} AS DOUBLE) AS importe FROM {view}"
+    for t, (view, key) in _keys.items()
+)
+# The columns of the listed tables, in order.
+_catalog = {
+    "dim_tiempo": (
+        "id_tiempo fecha anio mes nombre_mes trimestre semana dia_semana nombre_dia es_fin_semana estacion fecha_date", "dim_tiempo"
+    ),
+    "dim_tienda": ("id_tienda nombre_tienda id_ciudad tipo tamano_m2 nombre_ciudad region zona", "dim_tienda"),
+    "dim_metodopago": ("id_metodo_pago nombre comision_pct", "v_metodo_pago"),
+}
+SQL["catalog_listing"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS tabla, CAST({i} AS INTEGER) AS posicion, '{c}' AS columna, CAST({_value(P.COLUMN_NOTES.get(c))} AS VARCHAR) AS comentario, "
+    f"{i == 1} AS es_pk, (SELECT count(*) FROM {view}) AS filas"
+    for t, (columns, view) in _catalog.items()
+    for i, c in enumerate(columns.split(), 1)
+)
 
 _ITEMS = {
     "baskets": BRANDS,
@@ -795,6 +943,7 @@ _ITEMS = {
     "top_itemsets": BRANDS,
     "association_rules_brand": BRANDS,
     "frequent_itemsets_category": TYPES,
+    "itemset_chart_labels": TYPES,
     "association_rules": TYPES,
     "top_rules": TYPES,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +12,12 @@ from pyspark.sql import functions as F
 from vitrina.functions.measures import half_even
 from vitrina.functions.rules import DIMENSION_RULE, SNAPSHOT_RULE
 from vitrina.operators import audit, cube, dimensions, facts, kpi, olap, orders, rfm, scd
-from vitrina.operators.mining import basket, churn, cluster, correlation, metrics, returns, seasonality
+from vitrina.operators.mining import basket, churn, cluster, correlation, metrics, returns, seasonality, trees
 from vitrina.plans import parameters as P
 from vitrina.plans.warehouse import Warehouse, opened
 from vitrina.session import configure, scratch_path, stored
-from vitrina.sinks.writers import load_tables, overwrite, reread_csv
+from vitrina.sinks.writers import load_measured, load_tables, overwrite, reread_csv, save_all
+from vitrina.sources.files import RetailFiles, write_files
 from vitrina.sources.readers import read_csv, read_table, read_xml
 from vitrina.sources.retail import Retail
 from vitrina.sources.schemas import CAMPAIGN, CAMPAIGN_TAG, TABLES
@@ -231,7 +233,7 @@ def segment_counts(w):
 @query
 def rfm_as_of(w):
     r = w.retail
-    return rfm.rfm_as_of(r.customers, r.orders, r.order_lines, P.CUTOFFS)
+    return rfm.rfm_as_of(r.customers, r.orders, r.order_lines, rfm.half_year_ends(r.orders, P.FIRST_CUTOFF))
 
 
 @query
@@ -245,10 +247,7 @@ def price_validity(w):
 
 
 def _scd2_product(w, strict):
-    """The price log is a source table, so it is stored like one."""
-    history = w.retail.price_history
-    history = stored(history if strict else scd.price_validity(history), "historicoprecios")
-    return scd.scd2_product(w.products, history, strict, P.FIRST_DAY)
+    return scd.scd2_product(w.products, w.retail.price_history, strict, P.FIRST_DAY)
 
 
 @query
@@ -264,7 +263,7 @@ def scd2_product_strict(w):
 def _scd2_customer(w, strict):
     r = w.retail
     rule = SNAPSHOT_RULE.with_amount(P.VIP_AMOUNT)
-    return scd.scd2_customer(r.customers, r.cities, r.orders, r.order_lines, P.CUTOFFS, rule, strict)
+    return scd.scd2_customer(r.customers, r.cities, r.orders, r.order_lines, rfm.half_year_ends(r.orders, P.FIRST_CUTOFF), rule, strict)
 
 
 @query
@@ -345,12 +344,14 @@ def cube_n4(w):
 
 @query
 def cube_grouping_sets(w):
-    return cube.cube_grouping_sets(_cube_base(w))
+    base = stored(_cube_base(w).select(*cube.READ), "detalle_cubo")
+    return cube.cube_grouping_sets(base, stored(cube.cube_state(base), "estado_cubo"))
 
 
 @query
 def cube_reconcile(w):
-    return cube.cube_reconcile(stored(_cube_base(w), "Cubo_Ventas_N0"))
+    base = stored(_cube_base(w), "Cubo_Ventas_N0")
+    return cube.cube_reconcile(base, stored(cube.cube_state(base), "estado_cubo"))
 
 
 # --- the warehouse as stored tables -----------------------------------------------
@@ -365,10 +366,11 @@ HISTORIES = {
 
 
 def warehouse_tables(w) -> dict[str, Callable[[], DataFrame]]:
-    """Star, histories and cube levels, each built when it is called; the levels share one stored detail."""
+    """Star, histories and cube levels, each built when it is called; the levels share one stored detail and state."""
     detail = functools.cache(lambda: stored(_cube_base(w), "detalle_cubo"))
+    state = functools.cache(lambda: stored(cube.cube_state(detail()), "estado_cubo"))
     histories = {name: functools.partial(build, w) for name, build in HISTORIES.items()}
-    levels = {f"Cubo_Ventas_N{n}": (lambda n=n: cube.cube_level(detail(), n)) for n in range(5)}
+    levels = {f"Cubo_Ventas_N{n}": (lambda n=n: cube.cube_level(detail(), n, state() if n > 1 else None)) for n in range(5)}
     return w.tables() | histories | levels
 
 
@@ -392,6 +394,62 @@ def warehouse_listing(w):
     return audit.schema_listing(opened(w.spark, root, list(builds)))
 
 
+@query
+def load_metrics(w):
+    """Rows, rows without a key, and amount of the tables of the star, as their writes measured them."""
+    names = ["Dim_Tiempo", "Dim_Producto", "Dim_Tienda", "Dim_Empleado", "Dim_MetodoPago", "Fact_Ventas"]
+    built = {name: w.tables()[name]() for name in names}
+    return load_measured(w.spark, built, scratch_path(w.spark, "dw"))
+
+
+@query
+def catalog_listing(w):
+    """Some dimensions saved as tables of a database of this run, as the catalog lists them."""
+    database, root = f"vitrina_{uuid.uuid4().hex}", scratch_path(w.spark, "catalogo")
+    built = {name: audit.commented(w.tables()[name](), P.COLUMN_NOTES) for name in P.CATALOG_TABLES}
+    counts = save_all(w.spark, built, database, root)
+    try:
+        return audit.catalog_listing(w.spark, database, counts)
+    finally:
+        w.spark.sql(f"DROP DATABASE `{database}` CASCADE")
+
+
+@query
+def stored_star_join(w):
+    """The star over lines and orders that are stored in buckets of the order key: their join moves neither."""
+    database, root = f"vitrina_{uuid.uuid4().hex}", scratch_path(w.spark, "cubetas")
+    w.spark.sql(f"CREATE DATABASE `{database}` LOCATION '{root}'")
+    tables = {}
+    for name, df in {"detalle": w.retail.order_lines, "ordenes": w.retail.orders}.items():
+        table = f"`{database}`.`{name}`"
+        overwrite(df, f"{root}/{name}", table=table, bucket_by=(P.ORDER_BUCKETS, "id_orden"))
+        tables[name] = w.spark.table(table)
+    fact = facts.sales_fact(tables["detalle"], tables["ordenes"].hint("merge"), w.calendar, facts.CALENDAR)
+    out = facts.star(fact, products=w.products, stores=w.stores)
+    return out.select(
+        "id_detalle", "id_orden", "id_producto", "id_cliente", "id_tienda", "anio", "mes", "trimestre",
+        "nombre_categoria", "margen_pct", "tipo_tienda", "ciudad_tienda", "zona_tienda", "cantidad", "subtotal",
+    )
+
+
+@query
+def files_star_pivot(w):
+    """The pivot over a warehouse whose source are the retail files, with amounts in whole numbers."""
+    root = scratch_path(w.spark, "archivos")
+    write_files(w.retail, root)
+    return olap.pivot(Warehouse(RetailFiles(w.spark, root)).star("calendar", "products"))
+
+
+@query
+def files_return_rate(w):
+    """Lines and returned lines per store of the order, from the retail files."""
+    root = scratch_path(w.spark, "archivos")
+    write_files(w.retail, root)
+    source = RetailFiles(w.spark, root)
+    sold = facts.order_detail(source.order_lines, source.orders).groupBy("id_tienda")
+    return sold.agg(F.count(F.lit(1)).alias("lineas"), F.sum(F.col("devuelto").cast("long")).alias("devueltas"), F.sum("subtotal").alias("ventas"))
+
+
 @query
 def stored_star_pivot(w):
     """The pivot over a stored star: its scans repeat no join of lines and orders."""
@@ -552,6 +610,54 @@ def cluster_profile(w):
     return cluster.profile(cluster.segments(w.customers, k=4, seed=P.SEED))
 
 
+@query
+def kmeans_best_k(w):
+    return cluster.best_k(cluster.elbow(w.customers, seed=P.SEED))
+
+
+def _scaled(w):
+    """Scaled customers with their segment, stored because every measure reads them twice."""
+    customers = stored(w.customers.select("id_cliente", "segmento_rfm", *cluster.RFM), "clientes")
+    return stored(cluster.standardize(customers), "escalados"), [f"{c}_z" for c in cluster.RFM]
+
+
+@query
+def segment_inertia(w):
+    """Squared distances to the centre of each segment, the segment taken as a cluster."""
+    points, columns = _scaled(w)
+    return rounded(cluster.inertia(points, "segmento_rfm", columns), "inercia", decimals=4)
+
+
+@query
+def segment_silhouette(w):
+    points, columns = _scaled(w)
+    measured = cluster.silhouette(points, "segmento_rfm", columns)
+    means = measured.groupBy("segmento_rfm").agg(F.count(F.lit(1)).alias("clientes"), F.avg("silueta").alias("silueta"))
+    return rounded(means, "silueta")
+
+
+@query
+def segment_profile(w):
+    return cluster.profile(w.customers.withColumn("cluster", F.col("segmento_rfm")))
+
+
+def _band_elbow(w):
+    points, columns = _scaled(w)
+    banded = [cluster.quality(cluster.amount_bands(points, "monto_total", k), "cluster", columns).withColumn("k", F.lit(k)) for k in P.BANDS]
+    return audit.union_all(banded)
+
+
+@query
+def band_elbow(w):
+    """Inertia and silhouette of 2 to 6 bands of the amount: an elbow without a model."""
+    return rounded(rounded(_band_elbow(w), "inercia", decimals=4), "silueta")
+
+
+@query
+def band_best_k(w):
+    return rounded(cluster.best_k(_band_elbow(w)), "silueta")
+
+
 @query
 def churn_label(w):
     return churn.churn_label(w.customers).select("id_cliente", "recency", "churn")
@@ -625,6 +731,41 @@ def churn_cv(w):
     return churn.cross_validate(churn.forest(seed=P.SEED), frame, "churn", "id_cliente", seed=P.SEED)
 
 
+def _walked(w, frame=None):
+    """Customers on their way through the fixed tree."""
+    nodes = trees.tree_table(w.spark, P.TREE)
+    return trees.paths(_churn_features(w) if frame is None else frame, nodes, churn.FEATURES, P.TREE_DEPTH), nodes
+
+
+@query
+def tree_predictions(w):
+    walked, _ = _walked(w)
+    return walked.select("id_cliente", "churn", "prediccion", F.element_at("camino", -1).alias("hoja"))
+
+
+@query
+def tree_nodes(w):
+    """The fixed tree with the customers and the impurity of every node."""
+    counts = trees.node_counts(*_walked(w), "churn")
+    positive = F.col("peso_positivo").cast("long").alias("positivos")
+    return rounded(counts.select("nodo", "padre", "lado", "feature", "limite", "filas", positive, "gini"), "gini")
+
+
+@query
+def tree_importance(w):
+    counts = stored(trees.node_counts(*_walked(w), "churn"), "nodos")
+    return rounded(trees.importance(counts, churn.FEATURES), "importancia")
+
+
+@query
+def tree_fold_accuracy(w):
+    """Accuracy of the fixed tree on each fold of the customers."""
+    folded = churn.with_fold(_churn_features(w), "id_cliente", "churn", P.FOLDS, P.SEED)
+    walked, _ = _walked(w, folded)
+    right = F.avg((F.col("churn") == F.col("prediccion")).cast("double")).alias("exactitud")
+    return rounded(walked.groupBy("fold").agg(F.count(F.lit(1)).alias("filas"), right), "exactitud")
+
+
 def _fixed_rule(w):
     """Churn against a plain rule on the number of orders, to check the metrics exactly."""
     guess = (F.col("frecuencia") < P.ORDERS_RULE).cast("int")
@@ -742,14 +883,9 @@ def seasonal_by_category(w):
     return rounded(parts, "tendencia", "estacional", "residuo", decimals=1)
 
 
-def _category_names(w) -> list[str]:
-    """The column names of a wide table: one short label per category."""
-    return [r.nombre for r in w.retail.categories.orderBy("nombre").collect()]
-
-
 @query
 def monthly_category_matrix(w):
-    matrix = correlation.monthly_matrix(w.star("calendar", "products"), _category_names(w))
+    matrix = correlation.monthly_matrix(w.star("calendar", "products"), P.CATEGORIES)
     return rounded(matrix, correlation.TOTAL, decimals=4)
 
 
@@ -817,6 +953,12 @@ def top_itemsets(w):
     return rounded(basket.top_itemsets(_itemsets(w, "marca", P.BRAND_SUPPORT)), "soporte")
 
 
+@query
+def itemset_chart_labels(w):
+    """The most frequent sets of types under a label of their first items, as a chart shows them."""
+    return rounded(basket.top_itemsets(_itemsets(w, "categoria", P.TYPE_SUPPORT), n=P.CHART_SETS, first=P.CHART_ITEMS), "soporte")
+
+
 def _shown_rules(rules):
     shown = rules.withColumns({c: basket.label(c) for c in ("antecedente", "consecuente")})
     return rounded(shown, "soporte_a", "soporte_c", "soporte", "confianza", "lift", "leverage", "conviccion")
