@@ -137,7 +137,9 @@ def elbow(
 
     Several fits run at a time, since the jobs of one fit wait for each other.
     """
-    vectors = scaled_vectors(customers).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    scaled = [f"{c}_z" for c in RFM]
+    vectors = scaled_vectors(customers).select("features", *scaled).persist(StorageLevel.MEMORY_AND_DISK)
+
     def measure(k: int) -> tuple[int, float, float, str]:
         model = fit_best(vectors.select("features"), k, seed, restarts)
         found = quality(model.transform(vectors), "prediction", scaled).first()
