@@ -42,7 +42,7 @@ from vitrina.session import stored
 
 LENGTH = 100
 LEVELS = (24, 60, 90, 100)  # bytes of the naming strings, per cent of ``length``
-CROWD = 2048
+CROWD = 8192
 BLOCK = 1 << 20  # bytes that are suffix-sorted at a time
 CHUNK = 1 << 16  # windows that are named at a time
 CAP = 512  # windows of a piece, so that a monotonous text makes no long ones
@@ -305,12 +305,12 @@ def _cut(length: int):
             for i in range(batch.num_rows):
                 text = batch.column("text")[i].as_buffer()
                 chosen = batch.column("chosen").slice(i, 1).flatten()
-                names, at, windows = (chosen.field(f) for f in ("name", "at", "windows"))
+                names, at, windows, crowded = (chosen.field(f) for f in ("name", "at", "windows", "crowded"))
                 spans = zip(at.to_pylist(), windows.to_pylist(), strict=True)
                 parts = pa.array([text.slice(a, n + length - 1).to_pybytes() for a, n in spans], pa.binary())
                 same = pa.array(np.full(len(parts), i))
-                columns = [names, batch.column("id").take(same), batch.column("hash").take(same), at, parts]
-                yield pa.RecordBatch.from_arrays(columns, ["name", "id", "hash", "at", "text"])
+                columns = [names, batch.column("id").take(same), batch.column("hash").take(same), at, crowded, parts]
+                yield pa.RecordBatch.from_arrays(columns, ["name", "id", "hash", "at", "crowded", "text"])
 
     return run
 
@@ -320,12 +320,12 @@ def _doc() -> Column:
 
 
 def _texts(docs: DataFrame, chosen: DataFrame, length: int) -> DataFrame:
-    """(name, id, hash, at, text) of chosen pieces, each document read once."""
+    """(name, id, hash, at, crowded, text) of chosen pieces, each document read once."""
     chosen = chosen.groupBy(F.struct("first.id", "first.hash").alias("doc"))
-    chosen = chosen.agg(F.collect_list(F.struct("name", F.col("first.at").alias("at"), "windows")).alias("chosen"))
+    chosen = chosen.agg(F.collect_list(F.struct("name", F.col("first.at").alias("at"), "windows", "crowded")).alias("chosen"))
     kind = docs.schema["id"].dataType.simpleString()
     joined = docs.withColumn("doc", _doc()).join(chosen.hint("merge"), "doc").select("id", "hash", F.col("text").cast("binary"), "chosen")
-    return joined.mapInArrow(_cut(length), f"name long, id {kind}, hash long, at long, text binary")
+    return joined.mapInArrow(_cut(length), f"name long, id {kind}, hash long, at long, crowded boolean, text binary")
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
@@ -353,14 +353,18 @@ def repeats(docs: DataFrame, length: int = LENGTH, crowd: int = CROWD, block: in
         found.append(later.select("id", "hash", F.col("at").alias("begin"), end.alias("end")))
         sizes = firsts.groupBy("name").agg(F.count(F.lit(1)).alias("distinct"), F.max("places").alias("most"))
         sizes = sizes.where("distinct > 1 or most > 1").select("name", "distinct")
+        crowded = F.lit(False) if last else F.col("distinct") > crowd
+        deeper = not last and not sizes.where(crowded).isEmpty()
         unsettled = firsts.select("name", "first", "windows").join(sizes.hint("merge"), "name")
-        crowded = F.col("distinct") > crowd
-        chosen = unsettled if last else unsettled.where(~crowded)
-        texts = _texts(docs, chosen, length).repartition("name").sortWithinPartitions("name")
+        texts = _texts(docs, unsettled.withColumn("crowded", crowded), length)
+        if deeper:
+            texts = stored(texts, "texts")
+            source = texts.where("crowded").select("id", "hash", "at", "text")
+            texts = texts.where("not crowded")
+        texts = texts.drop("crowded").repartition("name").sortWithinPartitions("name")
         found.append(stored(texts.mapInArrow(_suffix_sort(length, block), f"id {kind}, hash long, begin long, end long"), "spans"))
-        if last or sizes.where(crowded).isEmpty():
+        if not deeper:
             break
-        source = stored(_texts(docs, unsettled.where(crowded), length).drop("name"), "crowded")
     spans = found[0]
     for more in found[1:]:
         spans = spans.unionByName(more)
