@@ -1,4 +1,6 @@
-"""Times the headline queries and prints one JSON line.
+"""Times the headline queries and prints one JSON line, with the megabytes each run shuffles.
+
+Arguments name other queries; ``heavy`` stands for those of ``HEAVY``.
 
 BENCH_SF_DIR  folder of the tables (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores (default: all)
@@ -48,6 +50,10 @@ HEADLINE = [
 ]
 
 
+# Long ones, which are timed on demand.
+HEAVY = ["star_join", "stored_star_join", "kpi_summary", "cube_reconcile", "load_warehouse", "kmeans_elbow", "churn_forest", "churn_cv"]
+
+
 def session(cpus: str) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -71,14 +77,22 @@ def run(spark: SparkSession, name: str, folder: str) -> float:
     return time.perf_counter() - start
 
 
+def shuffled(spark: SparkSession) -> float:
+    """Megabytes written to shuffles since the session began."""
+    executors = spark.sparkContext._jsc.sc().statusStore().executorList(True)
+    return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size())) / 1e6
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = session(os.environ.get("BENCH_CPUS", "*"))
-    names = sys.argv[1:] or HEADLINE
-    seconds = {}
+    names = [n for given in sys.argv[1:] for n in (HEAVY if given == "heavy" else [given])] or HEADLINE
+    seconds, moved = {}, {}
     for name in names:
+        before = shuffled(spark)
         run(spark, name, folder)
+        moved[name] = round(shuffled(spark) - before, 1)
         seconds[name] = round(statistics.median(run(spark, name, folder) for _ in range(runs)), 3)
     spark.stop()
     print(
@@ -88,6 +102,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "shuffle_mb": moved,
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
             }
         )
