@@ -106,6 +106,7 @@ ORACLES: dict[str, str] = {
     "op5_mixing": mixing.oracle(),
     "op7_sharding": sharding.oracle(),
     "op9_exact_dedup": exact_dedup.ORACLE,
+    "op11_suffix_dedup": suffix_dedup.oracle(),
     "op12_importance": importance.oracle(),
     "op13_divergence": divergence.oracle(),
 }

@@ -412,3 +412,28 @@ def dedup(
     joined = joined.select("id", F.col("text").cast("binary"), F.coalesce("given", F.array().cast(given.schema["given"].dataType)).alias("given"))
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, spans array<struct<begin:long,end:long>>, kept binary"
     return joined.mapInArrow(_without, schema)
+
+
+def oracle(length: int = LENGTH) -> str:
+    """The digests of ``dedup``: every window by its hash, joined with the smallest place of an equal one."""
+    return f"""
+    WITH d AS (
+      SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h,
+             CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
+    w AS MATERIALIZED (
+      SELECT r, row(doc_id IS NULL, coalesce(doc_id, 0), i) AS place, i, md5_number(h[2 * i + 1:2 * (i + {length})]) AS k
+      FROM (SELECT r, doc_id, h, unnest(range(n - {length} + 1)) AS i FROM d WHERE n >= {length})),
+    f AS (SELECT k, min(place) AS first FROM w GROUP BY k),
+    m AS (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM w JOIN f USING (k) WHERE place > first),
+    s AS (
+      SELECT r, min(i) AS a, max(i) + {length} AS b
+      FROM (SELECT r, i, count(*) FILTER (before IS NULL OR i > before + {length}) OVER (PARTITION BY r ORDER BY i) AS run FROM m)
+      GROUP BY r, run),
+    g AS (SELECT *, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS since FROM s),
+    k AS (
+      SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+             string_agg(h[2 * since + 1:2 * a], '' ORDER BY a) AS head
+      FROM g JOIN d USING (r) GROUP BY r)
+    SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+           sha256(unhex(coalesce(head, '') || h[2 * coalesce(last, 0) + 1:])) AS kept_sha256
+    FROM d LEFT JOIN k USING (r)"""
