@@ -38,7 +38,7 @@ from vitrina.llm.pretokens import units
 from vitrina.llm.text import texts
 
 GROUP = 1 << 21  # bytes of text that are encoded at a time
-REMEMBERED = 250_000  # units whose ids a worker keeps; beyond that it starts afresh
+REMEMBERED = 150_000  # units whose ids a worker keeps; beyond that it starts afresh
 
 
 def byte_characters() -> list[str]:
@@ -176,6 +176,7 @@ def bpe(
                 names = ["doc_id", "ids", "ids_sha256", "decoded_sha256", *(OFFSETS if offsets else [])]
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(begin, len(group)), *columns], names)
                 begin += len(group)
+        pa.default_memory_pool().release_unused()  # workers live on after their task
 
     kind = docs.schema[id_column].dataType.simpleString()
     chosen = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))

@@ -185,6 +185,7 @@ def _compare(half: int, rows: int = 4096):
                     begin = end
             held = held[:, begin:]
         yield pa.RecordBatch.from_arrays(_longs(*meetings(*held, steps)), ["u", "v"])
+        pa.default_memory_pool().release_unused()  # workers live on after their task
 
     return run
 
