@@ -9,7 +9,7 @@ from pyspark.ml import Model
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -17,7 +17,7 @@ from vitrina.functions.measures import ratio, rows
 from vitrina.functions.rules import CHURN_DAYS, NO_ORDER_RECENCY, churned, stable_hash
 from vitrina.operators.mining.cluster import feature_vectors
 from vitrina.operators.rfm import customer_activity
-from vitrina.session import stored
+from vitrina.session import scratch_path, stored
 
 FEATURES = ["recency", "frecuencia", "monto_total", "tasa_devolucion", "dias_desde_registro"]
 LEAKY = ["recency"]  # the label is a threshold on it
@@ -103,14 +103,27 @@ def training_frame(features: DataFrame, exclude_leaky: bool = False, seed: int =
 
 
 def fit(estimator: RandomForestClassifier | DecisionTreeClassifier, train: DataFrame, label: str = "churn") -> Model:
-    """Fit on ``train``, balanced over its own classes."""
+    """Fit on ``train``, balanced over its own classes; the model carries no training summary."""
     train = with_balanced_weight(train, label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return estimator.fit(train)
+        return without_summary(estimator.fit(train), train.sparkSession)
     finally:
         train.unpersist()
 
 
+def without_summary(model: Model, spark: SparkSession) -> Model:
+    """The model as stored and read back.
+
+    The training summary of a forest holds its session, and predictions carry the whole model to the
+    tasks.  A session that has observed a metric cannot be carried there; a model that was read has no summary.
+    """
+    if not getattr(model, "hasSummary", False):
+        return model
+    path = scratch_path(spark, "modelo")
+    model.save(path)
+    return type(model).load(path)
+
+
 def fit_on_train(estimator: RandomForestClassifier | DecisionTreeClassifier, frame: DataFrame) -> Model:
     return fit(estimator, frame.where("es_entrenamiento"))
 
