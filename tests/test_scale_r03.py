@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+from datetime import date, datetime, timedelta
+
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from vitrina.operators import joins, orders
 from vitrina.operators.mining import churn
 
 
@@ -19,3 +22,39 @@ def test_forests_predict_in_a_session_that_observed_a_metric(spark):
     scored = churn.test_predictions(churn.fit_on_train(churn.forest(trees=5), frame), frame)
     assert scored.where("churn = prediccion").count() == frame.where("NOT es_entrenamiento").count()
     assert churn.cross_validate(churn.forest(trees=5), frame, "churn", "id_cliente", folds=2).head().exactitud_media > 0.95
+
+
+# --- promotions -------------------------------------------------------------------
+
+
+def _orders_and_promotions(spark):
+    base = datetime(2021, 1, 1)
+    sold = [(i, base + timedelta(days=i * 7 % 90, hours=i % 24)) for i in range(300)] + [(999, None)]
+    offers = [(i, "Fijo", i, (base + timedelta(days=i * 5 % 120)).date(), (base + timedelta(days=i * 5 % 120 + i % 9)).date() if i % 10 else None, i % 4 != 0) for i in range(60)]
+    offers.append((60, "Fijo", 1, date(1900, 1, 1), date(9999, 12, 31), True))
+    return (
+        spark.createDataFrame(sold, "id_orden BIGINT, fecha_orden TIMESTAMP_NTZ"),
+        spark.createDataFrame(offers, "id_promocion BIGINT, tipo STRING, valor BIGINT, fecha_inicio DATE, fecha_fin DATE, activa BOOLEAN"),
+    )
+
+
+def test_intervals_meet_the_facts_of_their_days_only(spark):
+    sold, offers = _orders_and_promotions(spark)
+    dealt, repeated = joins.met_by_day(sold, "fecha_orden", offers.where("activa"), "fecha_inicio", "fecha_fin", open_end=True, buckets=4)
+    candidates = dealt.join(repeated, joins.MEETING)
+    found = joins.interval_join(sold, "fecha_orden", offers.where("activa"), "fecha_inicio", "fecha_fin", open_end=True, buckets=4)
+    tested, matched = candidates.count(), found.count()
+    nested = sold.join(offers.where("activa"), F.expr("fecha_inicio <= fecha_orden AND (fecha_orden <= fecha_fin OR fecha_fin IS NULL)"))
+    assert matched == nested.count()
+    # Only an interval's last day holds facts that do not match; runs of days tested several times as many.
+    last_days = candidates.where("to_date(fecha_orden) = fecha_fin").count()
+    assert tested <= matched + last_days
+
+
+def test_chosen_promotion_equals_the_minimum_over_all_pairs(spark, rows, monkeypatch):
+    sold, offers = _orders_and_promotions(spark)
+    expected = rows(orders.one_promotion_per_order(orders.active_promotions(sold, offers)))
+    assert len(expected) == 300
+    assert rows(orders.chosen_promotion(sold, offers)) == expected
+    monkeypatch.setattr(orders, "LISTED", 7)
+    assert rows(orders.chosen_promotion(sold.repartition(5), offers)) == expected
