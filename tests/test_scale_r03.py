@@ -5,8 +5,9 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from vitrina.operators import joins, orders
+from vitrina.operators import joins, orders, scd
 from vitrina.operators.mining import churn
+from vitrina.plans import registry
 
 
 # --- models after a measured write ------------------------------------------------
@@ -58,3 +59,16 @@ def test_chosen_promotion_equals_the_minimum_over_all_pairs(spark, rows, monkeyp
     assert rows(orders.chosen_promotion(sold, offers)) == expected
     monkeypatch.setattr(orders, "LISTED", 7)
     assert rows(orders.chosen_promotion(sold.repartition(5), offers)) == expected
+
+
+# --- history ----------------------------------------------------------------------
+
+
+def test_audit_of_histories_numbers_and_stores_nothing(spark, monkeypatch):
+    def numbered(*_):
+        raise AssertionError("the audit needs no surrogate keys")
+
+    monkeypatch.setattr(scd, "dense_keys", numbered)
+    found = {r.dimension: r for r in registry.QUERIES["scd_audit"](spark, "/root/testdata/sf0.001").collect()}
+    assert set(found) == {"producto", "cliente"}
+    assert all(r.versiones == r.actuales + r.historicas > r.claves > 0 for r in found.values())
