@@ -2,11 +2,12 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from vitrina.operators import joins, orders, scd
-from vitrina.operators.mining import churn
+from vitrina.operators.mining import churn, cluster
 from vitrina.plans import registry
 
 
@@ -72,3 +73,16 @@ def test_audit_of_histories_numbers_and_stores_nothing(spark, monkeypatch):
     found = {r.dimension: r for r in registry.QUERIES["scd_audit"](spark, "/root/testdata/sf0.001").collect()}
     assert set(found) == {"producto", "cliente"}
     assert all(r.versiones == r.actuales + r.historicas > r.claves > 0 for r in found.values())
+
+
+# --- clusters ---------------------------------------------------------------------
+
+
+def test_clusters_are_fitted_on_distinct_points_with_their_customers(spark):
+    data = [(i, float(i % 10 // 5 * 100 + i % 5), 1.0) for i in range(200)]
+    points = spark.createDataFrame(data, "id INT, a DOUBLE, b DOUBLE")
+    weighted = cluster.weighted_vectors(points, ["a", "b"])
+    assert sorted(r.peso for r in weighted.collect()) == [20.0] * 10
+    model = cluster.fit_best(weighted, 2, restarts=2, weight=cluster.WEIGHT)
+    assert model.summary.trainingCost == pytest.approx(200 * 2.0)
+    assert sorted(tuple(c) for c in model.clusterCenters()) == [(2.0, 1.0), (102.0, 1.0)]

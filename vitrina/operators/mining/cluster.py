@@ -51,9 +51,10 @@ def feature_vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol="features").transform(df)
 
 
-def fit_best(vectors: DataFrame, k: int, seed: int = 42, restarts: int = STARTS) -> KMeansModel:
-    """The lowest-cost model of several k-means|| starts."""
-    models = [KMeans(k=k, seed=seed + i, maxIter=ITERATIONS).fit(vectors) for i in range(restarts)]
+def fit_best(vectors: DataFrame, k: int, seed: int = 42, restarts: int = STARTS, weight: str | None = None) -> KMeansModel:
+    """The lowest-cost model of several k-means|| starts; ``weight`` counts how often a vector occurs."""
+    given = {"weightCol": weight} if weight else {}
+    models = [KMeans(k=k, seed=seed + i, maxIter=ITERATIONS, **given).fit(vectors) for i in range(restarts)]
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
@@ -62,6 +63,15 @@ def scaled_vectors(customers: DataFrame) -> DataFrame:
     return feature_vectors(stored(scaled_rfm(customers)), [f"{c}_z" for c in RFM])
 
 
+WEIGHT = "peso"
+
+
+def weighted_vectors(points: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Each distinct point once, with its number of rows: all that the cost of a clustering depends on."""
+    counted = points.groupBy(*columns).agg(rows().cast("double").alias(WEIGHT))
+    return feature_vectors(counted, columns).select("features", WEIGHT)
+
+
 def assigned_moments(points: DataFrame, cluster: str, columns: Sequence[str]) -> DataFrame:
     """Per cluster: size, sum of every column and sum of the squared norms, all a distance needs."""
     norm = sum((F.col(c) * F.col(c) for c in columns[1:]), F.col(columns[0]) * F.col(columns[0]))
@@ -135,13 +145,15 @@ def elbow(
 ) -> DataFrame:
     """Inertia and silhouette (squared Euclidean, linear cost) per number of clusters.
 
-    Several fits run at a time, since the jobs of one fit wait for each other.
+    Several fits run at a time, since the jobs of one fit wait for each other.  They iterate over the
+    distinct points, weighted by their customers; the measures are those of all customers.
     """
     scaled = [f"{c}_z" for c in RFM]
     vectors = scaled_vectors(customers).select("features", *scaled).persist(StorageLevel.MEMORY_AND_DISK)
+    points = stored(weighted_vectors(vectors, scaled), "puntos")
 
     def measure(k: int) -> tuple[int, float, float, str]:
-        model = fit_best(vectors.select("features"), k, seed, restarts)
+        model = fit_best(points, k, seed, restarts, WEIGHT)
         found = quality(model.transform(vectors), "prediction", scaled).first()
         return k, found.inercia, found.silueta, "squaredEuclidean"
 
@@ -164,7 +176,8 @@ def segments(customers: DataFrame, k: int = 4, seed: int = 42, restarts: int = S
     """Customer with its cluster; clusters are numbered from 0 by descending mean amount."""
     vectors = scaled_vectors(customers).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = fit_best(vectors.select("features"), k, seed, restarts)
+        points = stored(weighted_vectors(vectors, [f"{c}_z" for c in RFM]), "puntos")
+        model = fit_best(points, k, seed, restarts, WEIGHT)
     finally:
         vectors.unpersist()
     assigned = model.transform(vectors).select("id_cliente", *RFM, F.col("prediction").alias("_p"))
