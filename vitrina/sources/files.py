@@ -74,6 +74,15 @@ class RetailFiles:
         lines = self.table("detalleordenes").join(returned, ["id_orden", "id_producto"], "left")
         return lines.select(*FILE_LINE, F.coalesce("_devuelto", F.lit(False)).alias("devuelto"))
 
+    @property
+    def line_sources(self) -> DataFrame:
+        """The lines themselves: their files hold the amounts."""
+        return self.order_lines
+
+    @staticmethod
+    def line_amounts(lines: DataFrame) -> DataFrame:
+        return lines
+
     @cached_property
     def price_history(self) -> DataFrame:
         return self.table("historicoprecios").drop("motivo_cambio")
