@@ -36,3 +36,19 @@ def _base(spark, keyless=False):
 def test_joins_move_the_sources_of_amounts(spark, name):
     plan = registry.QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
     assert re.search(r"AS subtotal#", plan).start() < re.search(r"Join Inner, \(id_orden#", plan).start()
+
+
+def test_level_1_counts_orders_by_marks(spark):
+    base, keys = _base(spark, keyless=True), cube.LEVELS[1]
+    level = cube.cube_level(base, 1)
+    assert "count(distinct" not in level._jdf.queryExecution().optimizedPlan().toString()
+    plain = base.na.drop(subset=keys).groupBy(*keys).agg(F.countDistinct("id_orden").alias("o"), F.sum("cantidad").alias("q"), F.sum("subtotal").alias("v"))
+    expected = {tuple(r[k] for k in keys): (r.o, r.q, r.v or 0.0) for r in plain.collect()}
+    assert {tuple(r[k] for k in keys): (r.transacciones, r.cantidad_vendida, r.ventas_totales) for r in level.collect()} == expected
+
+
+def test_level_1_keeps_no_table_of_groups(spark):
+    plan = registry.QUERIES["cube_n1"](spark, FOLDER)
+    plan.collect()
+    shown = plan._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" in shown and not re.search(r"HashAggregate\(keys=\[id_producto", shown)
