@@ -52,3 +52,15 @@ def test_level_1_keeps_no_table_of_groups(spark):
     plan.collect()
     shown = plan._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" in shown and not re.search(r"HashAggregate\(keys=\[id_producto", shown)
+
+
+def test_state_of_the_cube_is_one_row_per_category_and_month(spark):
+    base = _base(spark, keyless=True)
+    state = cube.cube_state(base)
+    assert state.count() == base.select(*cube.STATE).distinct().count()
+    known = base.na.drop(subset=cube.CATEGORY)
+    years = {r.anio: r.o for r in known.groupBy("anio").agg(F.countDistinct("id_orden").alias("o")).collect()}
+    together = cube.cube_grouping_sets(base, state).where("cubo_nivel = 4")
+    assert {r.anio: r.transacciones for r in together.collect()} == years
+    everything = {r.anio: r.o for r in base.groupBy("anio").agg(F.countDistinct("id_orden").alias("o")).collect()}
+    assert {r.anio: r.transacciones for r in cube.cube_level(base, 4, state).collect()} == everything
