@@ -64,3 +64,22 @@ def test_state_of_the_cube_is_one_row_per_category_and_month(spark):
     assert {r.anio: r.transacciones for r in together.collect()} == years
     everything = {r.anio: r.o for r in base.groupBy("anio").agg(F.countDistinct("id_orden").alias("o")).collect()}
     assert {r.anio: r.transacciones for r in cube.cube_level(base, 4, state).collect()} == everything
+
+
+def test_equal_baskets_are_mined_once(spark, monkeypatch):
+    draw = random.Random(5)
+    kinds = [sorted(draw.sample("abcdefg", draw.randrange(1, 6))) for _ in range(12)]
+    orders = {i: kinds[draw.randrange(12)] for i in range(600)}
+    pairs = spark.createDataFrame([(i, x) for i, items in orders.items() for x in items], "id_orden BIGINT, marca STRING")
+    sizes = {}
+
+    def measured(df, name="etapa"):
+        out = df.localCheckpoint()
+        sizes.setdefault(name, out.count())
+        return out
+
+    monkeypatch.setattr(basket, "stored", measured)
+    found = basket.frequent_itemsets(pairs, 0.1, item="marca")
+    counts = Counter(s for items in orders.values() for n in range(1, 8) for s in itertools.combinations(items, n))
+    assert {tuple(r["items"]): r.frecuencia for r in found.collect()} == {s: n for s, n in counts.items() if n >= 60}
+    assert sizes["canastas"] <= 12

@@ -5,9 +5,9 @@ from __future__ import annotations
 import functools
 import math
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from vitrina.functions.measures import rows
 from vitrina.session import stored
@@ -30,35 +30,62 @@ def basket_sample(orders: DataFrame, n: int = 500, seed: int = 42, key: str = "i
     return orders.select(key).orderBy(F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed)))), key).limit(n)
 
 
+def _distinct(pairs: DataFrame, order: str, item: str) -> DataFrame:
+    """Distinct pairs with a 1 on the first one of each order, from one sort by order."""
+    sorted_ = W.partitionBy(order).orderBy(item)
+    seen = pairs.withColumns({"_fila": F.row_number().over(sorted_), "_previo": F.lag(item).over(sorted_)})
+    first = F.col("_fila") == 1
+    kept = seen.where(first | ~F.col("_previo").eqNullSafe(F.col(item)))
+    return kept.select(order, item, (first & F.col(order).isNotNull()).cast("int").alias("_primero"))
+
+
 def frequent_itemsets(
     pairs: DataFrame, min_support: float = 0.03, order: str = "id_orden", item: str = "id_producto"
 ) -> DataFrame:
-    """Item sets that occur in at least ``min_support`` of the orders.
+    """Item sets that occur in at least ``min_support`` of the orders; ``pairs`` may repeat.
 
     Items below the threshold can be in no frequent set, so they leave before
     the baskets are built.  What remains is at most (mean basket size /
     min_support) items, which bounds every basket array whatever the order.
     """
-    pairs = stored(pairs.select(order, F.col(item).cast("string").alias(item)), "pares")
+    pairs = stored(_distinct(pairs.select(order, F.col(item).cast("string").alias(item)), order, item), "pares")
     # The threshold is a number of orders; the rounding keeps 0.03 * 100 at 3.
-    needed = F.ceil(F.round(pairs.agg(F.countDistinct(order)).scalar() * min_support, 9))
+    needed = F.ceil(F.round(pairs.agg(F.sum("_primero")).scalar() * min_support, 9))
     frequent = pairs.groupBy(item).agg(rows().alias("_n")).where(F.col("_n") >= F.greatest(needed, F.lit(1)))
     frequent = frequent.select(item, F.lit(True).alias("_frecuente"))
-    # Orders without a frequent item stay as empty baskets, so that rows are orders.
+    # Orders without a frequent item stay as empty baskets, so that the weights add up to the orders.
     kept = pairs.join(frequent, item, "left").select(order, F.when(F.col("_frecuente"), F.col(item)).alias("_item"))
-    arrays = stored(kept.groupBy(order).agg(F.sort_array(F.collect_set("_item")).alias("items")).select("items"), "canastas")
-    orders = arrays.count()  # from the metadata of the stored table
-    if orders == 0:
+    arrays = kept.groupBy(order).agg(F.sort_array(F.collect_set("_item")).alias("items"))
+    equal = stored(arrays.groupBy("items").agg(rows().alias("_peso")), "canastas")
+    orders = equal.agg(F.sum("_peso")).first()[0]
+    if not orders:
         return pairs.sparkSession.createDataFrame([], ITEMSETS)
-    # Half an order below the threshold keeps the miner's own rounding safe.
-    share = (max(1, math.ceil(round(min_support * orders, 9))) - 0.5) / orders
-    found = FPGrowth(itemsCol="items", minSupport=min(1.0, share)).fit(arrays).freqItemsets.select(
-        F.sort_array("items").alias("items"),
-        F.col("freq").alias("frecuencia"),
-        (F.col("freq") / F.lit(orders)).alias("soporte"),
-    )
+    found = _mined(equal, max(1, math.ceil(round(min_support * orders, 9))))
     # Kept because the rules join the sets with themselves.
-    return stored(found, "conjuntos")
+    return stored(found.withColumn("soporte", F.col("frecuencia") / F.lit(orders)), "conjuntos")
+
+
+def _mined(equal: DataFrame, needed: int) -> DataFrame:
+    """Sets in at least ``needed`` baskets, from distinct sorted baskets with their numbers.
+
+    Level by level: each frequent set keeps the items that follow it in its baskets, equal rests
+    added up, which is what a frequent-pattern tree shares; a set grows by one item of its rests.
+    """
+    grown = equal.select(F.array().cast("array<string>").alias("items"), F.col("items").alias("_resto"), "_peso")
+    found = []
+    while True:
+        longer = grown.select("items", "_resto", "_peso", F.posexplode("_resto").alias("_i", "_x")).select(
+            F.concat("items", F.array("_x")).alias("items"),
+            F.slice("_resto", F.col("_i") + 2, F.size("_resto")).alias("_resto"),
+            "_peso",
+        )
+        longer = stored(longer.groupBy("items", "_resto").agg(F.sum("_peso").alias("_peso")), "prolongados")
+        counted = longer.groupBy("items").agg(F.sum("_peso").alias("frecuencia")).where(F.col("frecuencia") >= needed)
+        found.append(stored(counted, "frecuentes"))
+        open_ = longer.where(F.size("_resto") > 0).join(found[-1].select("items"), "items", "left_semi")
+        if open_.isEmpty():
+            return functools.reduce(DataFrame.unionByName, found)
+        grown = open_
 
 
 def label(items: Column | str, first: int | None = None) -> Column:
