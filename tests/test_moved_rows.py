@@ -83,3 +83,10 @@ def test_equal_baskets_are_mined_once(spark, monkeypatch):
     counts = Counter(s for items in orders.values() for n in range(1, 8) for s in itertools.combinations(items, n))
     assert {tuple(r["items"]): r.frecuencia for r in found.collect()} == {s: n for s, n in counts.items() if n >= 60}
     assert sizes["canastas"] <= 12
+
+
+def test_detail_of_the_cube_is_written_once(spark, monkeypatch):
+    names, real = [], registry.stored
+    monkeypatch.setattr(registry, "stored", lambda df, name="etapa": (names.append(name), real(df, name))[1])
+    filas = {r.tabla: r.filas for r in registry.QUERIES["load_warehouse"](spark, FOLDER).collect()}
+    assert "detalle_cubo" not in names and filas["Cubo_Ventas_N0"] == spark.read.parquet(f"{FOLDER}/lineitem.parquet").count()
