@@ -392,6 +392,28 @@ def test_bpe_is_exact_and_reversible(text):
     assert bpe.decode(ids.tolist(), known.table) == text.encode()
 
 
+def test_new_units_are_searched_and_encoded_in_one_go(monkeypatch):
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=_ranks(), special_tokens={})
+    known = bpe.Codec(RANKS, public_tokenizers.PATTERN)
+    searched, pattern = [], known.pattern
+
+    class Searching:
+        def findall(self, text):
+            searched.append(text)
+            return pattern.findall(text)
+
+    monkeypatch.setattr(known, "pattern", Searching())
+    group = ["one, two's (three) 4th!", "caf\u00e9 \U0001f600\u00e9 end. ", " x\ny", "", " ", "five  six"]
+    for _ in range(2):
+        assert [ids.tolist() for ids in known.encode(group, remembered=3)] == [own.encode_ordinary(text) for text in group]
+    # Only a text's first unit and those that end in white space are searched alone.
+    assert len(searched) < len(set().union(*map(bpe.units, group)))
+    # A pattern that leaves out characters is searched unit by unit.
+    partial = bpe.Codec(RANKS, "[a-z]+")
+    (ids,) = partial.encode(["one, two three4"])
+    assert bpe.decode(ids.tolist(), partial.table) == b"onetwothree"
+
+
 def test_token_offsets(spark):
     rows = [(1, "Ab \u4e2d\u6587\U0001f600 caf\u00e9!"), (2, ""), (3, None), (4, "\U0001f9d1\u200d\U0001f680" * 3)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
