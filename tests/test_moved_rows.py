@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from vitrina.operators import cube
 from vitrina.operators.mining import basket
 from vitrina.plans import registry
+from vitrina.plans.warehouse import STAR_TABLES
+from vitrina.sinks import export_csv
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -90,3 +92,32 @@ def test_detail_of_the_cube_is_written_once(spark, monkeypatch):
     monkeypatch.setattr(registry, "stored", lambda df, name="etapa": (names.append(name), real(df, name))[1])
     filas = {r.tabla: r.filas for r in registry.QUERIES["load_warehouse"](spark, FOLDER).collect()}
     assert "detalle_cubo" not in names and filas["Cubo_Ventas_N0"] == spark.read.parquet(f"{FOLDER}/lineitem.parquet").count()
+
+
+def test_export_leaves_no_second_copy_of_the_star(spark, tmp_path, monkeypatch, rows):
+    monkeypatch.setattr(registry, "scratch_path", lambda _, name: str(tmp_path / name))
+    log = registry.QUERIES["sink_csv_export"](spark, FOLDER).collect()
+    assert {p.name for p in tmp_path.iterdir()} == {"campanas", "export"}
+    assert [r.tabla for r in log] == STAR_TABLES and not any(r.error for r in log)
+
+    # The files hold what an export of the stored star holds.
+    star = registry.warehouse(spark, FOLDER)
+    star.load(str(tmp_path / "dw"))
+    assert star.export(str(tmp_path / "again"), str(tmp_path / "dw")).collect() == log
+    for name, count, _ in log:
+        found = rows(spark.read.option("header", True).csv(str(tmp_path / "export" / name)))
+        assert len(found) == count
+        assert found == rows(spark.read.option("header", True).csv(str(tmp_path / "again" / name)))
+
+
+def test_export_logs_the_rows_of_its_files(spark, tmp_path):
+    """A table that differs from run to run shows that the rows written are the rows counted."""
+    drawn = F.udf(lambda _: random.random(), "double").asNondeterministic()
+    tables = {
+        "drawn": lambda: spark.range(5000).where(drawn("id") < 0.5),
+        "none": lambda: spark.range(0),
+        "left_out": lambda: spark.range(9).where("id < 0"),
+    }
+    log = {r.tabla: (r.filas, r.error) for r in export_csv(spark, tables, str(tmp_path)).collect()}
+    assert log == {name: (spark.read.schema("id BIGINT").option("header", True).csv(str(tmp_path / name)).count(), None) for name in tables}
+    assert log["drawn"][0] > 0
